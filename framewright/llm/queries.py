@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, tokens
-from .util import read, tokenizer_path
+from . import decontaminate, html, packing, quality, secrets, tokens
+from .sql import SQL  # noqa: F401
+from .util import fold, read, tokenizer_path
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score, by a model of the labelled rows outside fold 2 of 4."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(fold("doc_id", 4) != 2))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that stand in a benchmark window, and the items found."""
+    found = decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
+    n = F.size("items").cast("long")
+    return found.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= 2).alias("contaminated"))
 
 
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,10 +32,20 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path, ids=False)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in every document, each distinct text scanned once."""
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 1024 ids."""
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(), 1024, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_ids, op9_packing)}
-SQL: dict[str, str] = {}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_token_ids, op4_secrets, op9_packing, op10_html)}
