@@ -23,3 +23,19 @@ from w left join covered using (doc_id) left join items using (doc_id)
 """
 
 SQL: dict[str, str] = {"op2_decontaminate": OP2}
+
+OP5 = """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+u as (select * from v where len(e) > 0 and list_dot_product(e, e) > 0),
+link as (
+  select a.vec_id a, b.vec_id b from u a join u b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+  where list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
+select e.vec_id, coalesce(n, 0)::bigint n_links, least(e.vec_id, coalesce(low, e.vec_id)) component_id, least(e.vec_id, coalesce(low, e.vec_id)) = e.vec_id kept
+from embeddings e left join (select a, count(*) n from link group by a) l on l.a = e.vec_id
+left join (select a, min(b) low from reach group by a) r on r.a = e.vec_id
+"""
+
+SQL["op5_embeddings"] = OP5
