@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, html, jaccard, packing, quality, secrets, tokens
+from . import decontaminate, embeddings, html, jaccard, packing, quality, secrets, suffixes, tokens
 from .sql import SQL  # noqa: F401
 from .util import fold, read, tokenizer_path
 
@@ -48,6 +48,11 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without bytes of 100-byte strings that start earlier."""
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"), 100, kept_text=False)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 1024 ids."""
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(), 1024, ids=False)
@@ -58,4 +63,4 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_token_ids, op4_secrets, op5_embeddings, op7_jaccard, op9_packing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_token_ids, op4_secrets, op5_embeddings, op7_jaccard, op8_suffixes, op9_packing, op10_html)}
