@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, html, jaccard, packing, quality, secrets, suffixes, tokens
+from . import decontaminate, embeddings, html, jaccard, lm, packing, quality, secrets, suffixes, tokens
 from .sql import SQL  # noqa: F401
 from .util import fold, read, tokenizer_path
 
@@ -43,6 +43,12 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents by a model of those outside fold 0 of 10."""
+    scored = lm.score(read(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and link counts of documents by 5-word shingles at a similarity of 0.8 or more."""
     return jaccard.join(read(spark, sf_dir, "documents"))
@@ -63,4 +69,4 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_token_ids, op4_secrets, op5_embeddings, op7_jaccard, op8_suffixes, op9_packing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_token_ids, op4_secrets, op5_embeddings, op6_lm, op7_jaccard, op8_suffixes, op9_packing, op10_html)}
