@@ -69,20 +69,28 @@ def codes_of(lengths: np.ndarray) -> np.ndarray:
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Coded bytes of ids and the bit offset of every STRIDE-th."""
-    bits = lengths[ids].astype(np.int64)
+    bits, code = lengths[ids].astype(np.int64), codes[ids]
+    if len(ids) % 2:
+        bits, code = np.append(bits, 0), np.append(code, np.uint64(0))
+    second = bits[1::2]
+    code = code[::2] << second.astype(np.uint64) | code[1::2]  # two codes are one of 2 * LIMIT bits at most
+    bits = bits[::2] + second
     ends = np.cumsum(bits)
     begin = ends - bits
     total = int(ends[-1]) if len(ends) else 0
     out = np.zeros(total // 64 + 2, np.uint64)
-    code, room = codes[ids], 64 - (begin & 63) - bits
+    room = 64 - (begin & 63) - bits
     at = begin >> 6
-    high = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
+    over = np.flatnonzero(room < 0)
+    split, beyond = code[over], room[over]
+    room[over] = 0
+    code <<= room.astype(np.uint64)
+    code[over] = split >> (-beyond).astype(np.uint64)
     first = np.flatnonzero(np.diff(at, prepend=-1))
     if len(first):
-        out[at[first]] = np.add.reduceat(high, first)
-    over = np.flatnonzero(room < 0)
-    out[at[over] + 1] += code[over] << (64 + room[over]).astype(np.uint64)  # one code at most runs into a word
-    return out.astype(">u8").tobytes()[: (total + 7) // 8], begin[::STRIDE].astype(np.uint32)
+        out[at[first]] = np.add.reduceat(code, first)
+    out[at[over] + 1] += split << (64 + beyond).astype(np.uint64)  # one code at most runs into a word
+    return out.astype(">u8").tobytes()[: (total + 7) // 8], begin[:: STRIDE // 2].astype(np.uint32)
 
 
 class Decoder:
@@ -119,21 +127,28 @@ _ENCODED = "doc_id long, seq long, n_ids long, ids binary"
 def encode(docs: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFrame:
     """(doc_id, seq, n_ids, ids): each whole text's ids, then end_id; ids are zstd over the vocabulary's word size.
 
-    seq tells rows of equal doc_id apart. Null text: empty.
+    seq tells rows of equal doc_id apart. Null text: empty. A last row of each task, of seq -1, has its counts by id.
     """
 
     def run(batches):
         enc, task, row = bpe.encoder(tokenizer), TaskContext.get().partitionId(), 0
+        counts = np.zeros(enc.size, np.int64)
         squeeze = zstandard.ZstdCompressor(level=1)
         end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 some = b.slice(i, 500)
-                raw = [x.tobytes() + end for x in enc.encode([t or "" for t in some.column(1).to_pylist()])]
+                got = enc.encode([t or "" for t in some.column(1).to_pylist()])
+                counts += np.bincount(np.concatenate(got), minlength=enc.size)
+                if end_id is not None:
+                    counts[end_id] += len(got)
+                raw = [x.tobytes() + end for x in got]
                 n = [len(x) // enc.dtype().itemsize for x in raw]
                 seq = np.arange(row, row + len(n)) + (task << 33)
                 row += len(n)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(seq), pa.array(n, pa.int64()), pa.array([squeeze.compress(x) for x in raw], pa.binary())], ["doc_id", "seq", "n_ids", "ids"])
+        if row:
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([-1]), pa.array([0]), pa.array([counts.tobytes()])], ["doc_id", "seq", "n_ids", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _ENCODED)
 
@@ -156,12 +171,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         c = np.zeros(size, np.int64)
         for b in batches:
             for x in b.column(0):
-                c += np.bincount(unpack_ids(x.as_py(), size), minlength=size)
+                c += np.frombuffer(x.as_py(), np.int64)
         k = np.flatnonzero(c)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(c[k], pa.int64())], ["id", "n"])
 
     counts = np.zeros(size, np.int64)  # bounded by the vocabulary
-    for k, n in coded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect():
+    for k, n in coded.where("seq < 0").select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect():
         counts[k] = n
     lengths = code_lengths(counts)
     codes = codes_of(lengths)
@@ -190,7 +205,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
             yield flush()
 
     n = parts(spark, int(counts.sum()), PART_IDS)
-    ordered = coded.repartitionByRange(n, F.asc_nulls_first("doc_id"), "seq").sortWithinPartitions(F.asc_nulls_first("doc_id"), "seq")
+    ordered = coded.where("seq >= 0").repartitionByRange(n, F.asc_nulls_first("doc_id"), "seq").sortWithinPartitions(F.asc_nulls_first("doc_id"), "seq")
     ordered.select("doc_id", "ids").mapInArrow(block, _BLOCK_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
     drop_table(coded)
 
