@@ -80,7 +80,7 @@ def parse_scenes(lines: DataFrame, strict: bool = True) -> DataFrame:
 
 def read_scenes(spark: SparkSession, folder: str, kind: str = ".scenes.txt", strict: bool = True) -> DataFrame:
     """Scene lists <vid><kind> of a folder. A file is one row, so its line numbers are certain."""
-    got = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{kind}").text(folder)
+    got = spark.read.option("pathGlobFilter", f"*{kind}").text(folder, wholetext=True)
     vid = F.regexp_extract(F.col("_metadata.file_name"), "^(.*)" + kind.replace(".", r"\.") + "$", 1)
     return parse_scenes(got.select(vid.alias("vid"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line")), strict)
 
@@ -108,7 +108,7 @@ def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_media_info(spark: SparkSession, folder: str) -> DataFrame:
     """(vid, author) of <vid>.json files; other fields are left alone."""
-    got = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    got = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     return got.select(stem(F.col("_metadata.file_name")).alias("vid"), F.get_json_object("value", "$.author").alias("author"))
 
 
@@ -119,7 +119,7 @@ def explode_cut_spans(docs: DataFrame) -> DataFrame:
 
 
 def read_cut_spans(spark: SparkSession, path: str) -> DataFrame:
-    return explode_cut_spans(spark.read.option("wholetext", True).text(path))
+    return explode_cut_spans(spark.read.text(path, wholetext=True))
 
 
 def parse_probe(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def new_files(spark: SparkSession, folder: str, pattern: str = "*", each: int =
 
 def scene_stream(spark: SparkSession, folder: str, kind: str = ".scenes.txt") -> DataFrame:
     """Stream (vid, ord, f_start, f_end) of scene lists as they come; a bad line fails its batch."""
-    got = spark.readStream.option("wholetext", True).option("pathGlobFilter", f"*{kind}").text(folder)
+    got = spark.readStream.option("pathGlobFilter", f"*{kind}").text(folder, wholetext=True)
     vid = F.regexp_extract(F.col("_metadata.file_name"), "^(.*)" + kind.replace(".", r"\.") + "$", 1)
     line = F.filter(F.split("value", r"\r\n|\n|\r"), lambda x: F.trim(x) != "")
     part = F.split(F.trim(F.col("line")), r"\s+")
