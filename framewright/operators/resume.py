@@ -28,3 +28,8 @@ def by_keys(wanted: DataFrame, done: DataFrame) -> DataFrame:
 def status_summary(status: DataFrame) -> DataFrame:
     """(done, failed, failed_ids): counts of status (vid, ok) and the failed videos, sorted."""
     return status.agg(F.count_if("ok").alias("done"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.array_join(F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("vid").cast("string")))), ","), F.lit("")).alias("failed_ids"))
+
+
+def by_files(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """Videos of wanted (vid) without a file of files (vid, size) that has any bytes."""
+    return wanted.select("vid").distinct().join(files.where("size > 0").select("vid"), "vid", "left_anti")

@@ -39,3 +39,32 @@ def transcript_plan(audio: DataFrame, rate: int, speak, seconds: tuple[float, fl
     long_ = audio.groupBy("vid").agg(F.count("*").alias("_n")).where(F.col("_n") >= rate).select("vid")
     cut = signal.silence_chunks(audio.join(long_, "vid", "left_semi"), chunk, search, max(1, frame), least).where("s1 > s0")
     return speak(cut).select("vid", "idx", to_ms(F.col("s0"), rate).alias("time_start_ms"), to_ms(F.col("s1"), rate).alias("time_end_ms"), normalize_transcript(F.col("text")).alias("text"))
+
+
+def detection_plan(raw: DataFrame, sizes: DataFrame, *, pool: int = 300, overlap: float = 0.7, slots: int = 32) -> DataFrame:
+    """(img, slot, box, emb, shift, scale, objectness) of a detector's raw output (img, rid, cx, cy, w, h, obj, shift, scale, emb).
+
+    Class vectors to unit length, boxes within the square, pool and suppression there, then boxes of the image
+    (sizes: img, width, height), half precision, empty slots filled.
+    """
+    from ..functions import boxes, numeric
+    from ..operators import detections
+
+    box = boxes.corners(F.col("cx"), F.col("cy"), F.col("w"), F.col("h"))
+    kept = detections.greedy_nms(raw.select("img", "rid", "obj", box.alias("box")), pool, overlap, slots)
+    half = lambda c: numeric.half(c)
+    fit = boxes.from_square(F.col("box"), F.col("width"), F.col("height"))
+    full = kept.join(raw.select("img", "rid", box.alias("box"), "obj", "shift", "scale", "emb"), ["img", "rid"]).join(sizes, "img").withColumn("box", fit)
+    out = full.select(
+        "img", "slot", F.struct(*[half(F.col(f"box.{k}")).alias(k) for k in ("x1", "y1", "x2", "y2")]).alias("box"),
+        F.transform(numeric.l2_normalize_eps(F.col("emb")), half).alias("emb"), half(F.col("shift")).alias("shift"), half(numeric.elu_scale(F.col("scale"))).alias("scale"), half(F.col("obj")).alias("objectness"),
+    )
+    grid = sizes.select("img").distinct().withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))))
+    dim = raw.agg(F.max(F.size("emb")).alias("_dim"))
+    empty = F.lit(detections.EMPTY)
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("x1", "y1", "x2", "y2")])
+    joined = grid.join(out, ["img", "slot"], "left").crossJoin(F.broadcast(dim))  # dim is one row
+    return joined.select(
+        "img", "slot", F.coalesce("box", zero).alias("box"), F.coalesce("emb", F.transform(F.sequence(F.lit(1), F.col("_dim")), lambda _: F.lit(0.0))).alias("emb"),
+        *[F.coalesce(c, empty).alias(c) for c in ("shift", "scale", "objectness")],
+    )
