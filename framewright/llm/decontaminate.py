@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import alnum_table, slices, words
+from .util import alnum_table, slices, tidy, words
 
 WINDOW = 8
 #: Bytes of benchmark texts that one pass takes to every executor; a larger benchmark takes more passes.
@@ -186,6 +186,7 @@ def _pass(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
     while name in docs.columns:
         name += "_"
 
+    @tidy
     def run(batches):
         kept = range(len(keep))
         for b in batches:

@@ -13,6 +13,7 @@ import math
 import re
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -203,11 +204,9 @@ def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataF
     One row out for each row in, repeated rows included; null html gives ''. Whole pages are parsed.
     """
 
-    @F.pandas_udf("string")
-    def run(html):
-        import pandas as pd
-
-        return pd.Series([main_text(x) for x in html], dtype=object)
+    @F.arrow_udf("string")
+    def run(html: pa.Array) -> pa.Array:
+        return pa.array([main_text(x) for x in html.to_pylist()], pa.string())
 
     return pages.withColumn(into, run(F.col(f"`{column}`").cast("string"))).withColumn("n_chars", F.char_length(into).cast("long"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, roots, runs
-from .util import alnum_table, grams, mix, parts, slices, table, words
+from .util import alnum_table, grams, mix, parts, slices, table, tidy, words
 
 WORDS, THRESHOLD = 5, 0.8
 RUNS, DEPTH, SMALL, HASHES = 10, 3, 256, 64
@@ -54,6 +54,7 @@ def node_of(unique: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(unique.tobytes(), digest_size=8).digest(), "little") >> 1
 
 
+@tidy
 def _signatures(batches):
     for b in batches:
         for i, j, data, bounds in slices(b, "text"):
@@ -101,6 +102,7 @@ def _cut(b: pa.RecordBatch, columns: int) -> tuple[np.ndarray, np.ndarray]:
     return a, np.append(a[1:], b.num_rows)
 
 
+@tidy
 def _alike(batches):
     """Within each bucket, nodes whose signatures agree often enough, as (node, least such node reached)."""
     for b in runs(batches, 0):
@@ -135,6 +137,7 @@ def _alike(batches):
             yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(root[some])], ["a", "b"])
 
 
+@tidy
 def _sets(batches):
     """Sorted shingle set of each row whose text is still that of its node."""
     for b in batches:
@@ -149,6 +152,7 @@ def _sets(batches):
             yield out.filter(keep)
 
 
+@tidy
 def _exact(batches, threshold: float):
     """Links of each node to others of its block pair, counting copies, and the least node that links reach."""
     for b in runs(batches, 0):

@@ -166,14 +166,10 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with a double column `name` (replaced if there): the chance of label 1. Null text is scored as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(text):
-        import pandas as pd
-
-        out = []
-        for _, _, data, bounds in slices(pa.RecordBatch.from_arrays([pa.array(text, pa.large_string(), from_pandas=True)], ["t"]), "t"):
-            out.append(shared.value.score(*features(data, bounds)))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    @F.arrow_udf("double")
+    def run(text: pa.Array) -> pa.Array:
+        got = [shared.value.score(*features(data, bounds)) for _, _, data, bounds in slices(pa.RecordBatch.from_arrays([text], ["t"]), "t")]
+        return pa.array(np.concatenate(got) if got else np.zeros(0))
 
     return docs.withColumn(name, run(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import slices, table
+from .util import slices, table, tidy
 
 # The rules, in the order in which kinds count at an equal start. Each has the pattern, the
 # group whose length counts, the least length, and texts of which one must be there (lower-cased for assign).
@@ -65,6 +65,7 @@ def _hex_rows(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return found
 
 
+@tidy
 def _scan(batches):
     for b in batches:
         rows = []
@@ -144,11 +145,9 @@ def redact(docs: DataFrame, ledger_path: str | None = None, mask: str = "[secret
     found = ledger.where("spans <> ''").select(F.col("blob").alias(name), F.col("spans").alias(spans))
     out = keyed.join(found, name, "left")
 
-    @F.pandas_udf("string")
-    def cut(texts, all_spans):
-        import pandas as pd
-
-        return pd.Series([_masked(t, s, mask) for t, s in zip(texts, all_spans)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, all_spans: pa.Array) -> pa.Array:
+        return pa.array([_masked(t, s, mask) for t, s in zip(texts.to_pylist(), all_spans.to_pylist())], pa.string())
 
     clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut(F.col("text"), F.coalesce(F.col(spans), F.lit(""))))
     kept = [clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]

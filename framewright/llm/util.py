@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -76,6 +78,28 @@ def fold(column: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
 
 
+def _trim() -> None:
+    """Hands freed memory back, so that a worker kept for the next stage holds no more than its caches."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # not glibc
+        pass
+
+
+def tidy(f):
+    """A function over a task's batches that trims memory when the task ends."""
+
+    @functools.wraps(f)
+    def run(*args, **kwargs):
+        try:
+            yield from f(*args, **kwargs)
+        finally:
+            _trim()
+
+    return run
+
+
 # Word hashing ------------------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1
