@@ -19,11 +19,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import _powers, mix, parts, slices, table, text_bytes
+from .util import _powers, mix, parts, slices, table, text_bytes, tidy
 
 LENGTH, ANCHOR, SEGMENT = 100, 24, 1 << 20
 #: Bytes of text that a task gathers before it sends stretches on, and that one shard of anchors stands for.
-GATHER, SHARD = 8 << 20, 12 << 20
+GATHER, SHARD = 16 << 20, 12 << 20
 #: Bytes of stretches that one suffix array is built over (more if one anchor alone has more).
 ARRAY = 1 << 20
 _BITS = np.uint64(21)
@@ -178,6 +178,7 @@ def _equal(anchor: np.ndarray, whole: np.ndarray, *order: np.ndarray) -> tuple[n
     return o, again
 
 
+@tidy
 def _send(batches, shards: int, length: int):
     """Stretches by shard of anchor, one of each content; what repeats within the task as spans (shard -1)."""
     squeeze = zstandard.ZstdCompressor(level=3)
@@ -225,6 +226,7 @@ def _send(batches, shards: int, length: int):
         yield from flush()
 
 
+@tidy
 def _receive(batches, length: int):
     """Spans (uid, start, end) that earlier text has, of all shards in the task."""
     shards: dict[int, list] = {}
@@ -313,7 +315,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     least = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
     text = docs.select(F.col("uid"), least.alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sent = text.mapInArrow(lambda bs: _send(bs, shards, length), "shard int, kind int, payload binary")
-    return sent.repartition(shards, "shard").mapInArrow(lambda bs: _receive(bs, length), "uid long, spans binary")
+    return sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _receive(bs, length), "uid long, spans binary")
 
 
 def merged(spans: list, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -339,6 +341,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kept_text: bool = True
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("uid"))
     found = table(repeated_spans(rows, length), compression="zstd").groupBy("uid").agg(F.collect_list("spans").alias("spans"))
 
+    @tidy
     def run(batches):
         for b in batches:
             for i, j, data, bounds in slices(b, "text", 4 << 20):
