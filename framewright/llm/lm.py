@@ -4,10 +4,11 @@ One restaurant for each context, the word before hashed to CONTEXTS numbers; all
 restaurant of single words, whose parent is uniform over the V known words and one unknown. The state is
 how many tables each word has in each restaurant.
 
-Texts are read once more than they are counted: tokens go, sorted and packed, to shards by word, so that a
-word's tables in all contexts, its customers in the parent and its count are in one task; frequent words
-are spread over several shards by context, their sums carried along with the sums of tables by context,
-which are all that sweeps exchange. In a Gibbs sweep a shard draws the tables of every word and context
+A task sorts the tokens of a chunk of texts by shard, word and context. Their distinct types go, packed, to
+shards by word, so that a word's tables in all contexts, its customers in the parent and its count are in
+one task; frequent words are spread over several shards by context, their sums carried along with the sums
+of tables by context, which are all that sweeps exchange. Shards answer each chunk with a probability for
+each type it sent, so what moves grows with the tokens, whatever the number of shards. In a Gibbs sweep a shard draws the tables of every word and context
 anew, given all other sums as the last sweep left them: the seating of up to EXACT customers from its exact
 conditional (generalised Stirling numbers), the rest by seating them one batch after another. Probabilities
 are averaged over SAMPLES draws after BURN_IN sweeps.
@@ -22,14 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import drop_table, mix, parts, slices, space_table, table, text_bytes, words
+from .util import drop_table, mix, parts, slices, space_table, table, text_bytes, tidy, words
 
 CONTEXT_BITS = 16
 CONTEXTS = 1 << CONTEXT_BITS
 D_WORD, T_WORD, D_CONTEXT, T_CONTEXT = 0.5, 100.0, 0.8, 2.0
 BURN_IN, SAMPLES, EXACT = 2, 3, 48
 #: Bytes of text that a task packs at once, and that a shard of words stands for.
-GATHER, SHARD = 8 << 20, 16 << 20
+GATHER, SHARD = 8 << 20, 8 << 20
 _TABLE = space_table()
 _END, _BEGIN = np.uint64(0x51ED270B35C4A3F1), np.uint64(0xA0761D6478BD642F)
 
@@ -77,6 +78,7 @@ def _shard_of(word: np.ndarray, context: np.ndarray, shards: int, hot: np.ndarra
     return s.astype(np.int64)
 
 
+@tidy
 def _frequent(batches, shards: int):
     """Words that make up more than 1 in 8 * shards of a slice, with their counts."""
     for b in batches:
@@ -86,8 +88,9 @@ def _frequent(batches, shards: int):
             yield pa.RecordBatch.from_arrays([pa.array(w[some].view(np.int64)), pa.array(n[some]), pa.array(np.where(np.arange(some.sum()) == 0, n.sum(), 0))], ["word", "n", "all"])
 
 
+@tidy
 def _send(batches, shards: int, hot: np.ndarray, spread: np.ndarray):
-    """For each chunk of texts a row of facts (kind 1) and a row of packed tokens for each shard (kind 0)."""
+    """For each chunk of texts a row of facts and texts of tokens (kind 1), and a row of types for each shard (kind 0)."""
     task, no, held, size, docs = TaskContext.get().partitionId(), 0, [], 0, 0
 
     def flush():
@@ -103,17 +106,23 @@ def _send(batches, shards: int, hot: np.ndarray, spread: np.ndarray):
         rank, ctx, doc = (key >> np.uint64(32)).astype(np.int64), (key >> np.uint64(16)).astype(np.uint16), key.astype(np.uint16)
         shard = _shard_of(word[rank], ctx, shards, hot, spread)
         order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
-        edge = np.searchsorted(shard[order], np.arange(shards + 1))
-        rows = [(chunk % shards, 1, chunk, _pack(doc_id, null, train, n_tokens, counts.astype(np.int32)))]
+        rank, ctx, doc, shard = rank[order], ctx[order], doc[order], shard[order]
+        new = np.ones(len(rank), bool)  # where types begin
+        new[1:] = (rank[1:] != rank[:-1]) | (ctx[1:] != ctx[:-1]) | (shard[1:] != shard[:-1])
+        type_ = np.flatnonzero(new)
+        many = np.diff(np.append(type_, len(rank)))
+        learned = np.add.reduceat(train[doc].astype(np.uint32), type_)
+        edge = np.searchsorted(shard[type_], np.arange(shards + 1))
+        rows = [(chunk % shards, 1, chunk, _pack(doc_id, null, train, n_tokens, counts.astype(np.int32)), _pack(many.astype(np.uint16 if many.max() < 1 << 16 else np.uint32), doc))]
         for s in range(shards):
-            mine = order[edge[s] : edge[s + 1]]
+            mine = type_[edge[s] : edge[s + 1]]
             if len(mine):
                 r = rank[mine]
-                new = np.flatnonzero(np.diff(r, prepend=-1))
-                rows.append((s, 0, chunk, _pack(word[r[new]], np.diff(np.append(new, len(r))).astype(np.uint32), ctx[mine], doc[mine], train)))
+                first = np.flatnonzero(np.diff(r, prepend=-1))
+                rows.append((s, 0, chunk, _pack(word[r[first]], np.diff(np.append(first, len(r))).astype(np.uint32), ctx[mine], learned[edge[s] : edge[s + 1]]), None))
         held, size, docs = [], 0, 0
         for k in range(0, len(rows), 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 16]), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["shard", "kind", "chunk", "payload"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 16]), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["shard", "kind", "chunk", "payload", "tokens"])
 
     for b in batches:
         for i, j, data, bounds in slices(b, "text"):
@@ -129,28 +138,29 @@ def _send(batches, shards: int, hot: np.ndarray, spread: np.ndarray):
         yield from flush()
 
 
+@tidy
 def _merge(batches):
-    """One row for each shard: `types` (words, then contexts and training counts by word) and `tokens` (for each
-    chunk the type of each token and its text); rows of facts pass through."""
+    """One row for each shard: `types` (words, then contexts and training counts by word) and `tokens` (which of them
+    each chunk has); rows of facts pass through."""
+    names, kinds = ["shard", "kind", "chunk", "types", "tokens"], (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    one = lambda *row: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names)
     shards: dict[int, list] = {}
     for b in batches:
-        for shard, kind, chunk, payload in zip(*(c.to_pylist() for c in b.columns)):
+        for shard, kind, chunk, payload, toks in zip(*(c.to_pylist() for c in b.columns)):
             if kind:
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (1, pa.int32()), (chunk, pa.int64()), (payload, pa.binary()), (None, pa.binary()))], ["shard", "kind", "chunk", "types", "tokens"])
+                yield one(shard, 1, chunk, payload, toks)
             else:
                 shards.setdefault(shard, []).append((chunk, payload))
     for shard in list(shards):
         got = [(c, *_unpack(p)) for c, p in sorted(shards.pop(shard))]
         word = np.unique(np.concatenate([x[1] for x in got]))
-        key = np.concatenate([(np.repeat(np.searchsorted(word, w), n).astype(np.uint64) << np.uint64(16)) | ctx for _, w, n, ctx, _, _ in got])
-        train = np.concatenate([t[d] for *_, d, t in got])
+        key = np.concatenate([(np.repeat(np.searchsorted(word, w), n).astype(np.uint64) << np.uint64(16)) | ctx for _, w, n, ctx, _ in got])
         type_, inverse = np.unique(key, return_inverse=True)
-        count = np.bincount(inverse[train], minlength=len(type_)).astype(np.uint32)
+        count = np.bincount(inverse, np.concatenate([x[4] for x in got]), len(type_)).astype(np.uint32)
         of = (type_ >> np.uint64(16)).astype(np.int64)
         types = _pack(word, np.bincount(of, minlength=len(word)).astype(np.uint32), type_.astype(np.uint16), count)
-        sizes = np.array([len(x[3]) for x in got], np.int64)
-        toks = _pack(np.array([x[0] for x in got], np.int64), sizes, np.array([len(x[5]) for x in got], np.int64), inverse.astype(np.uint32), np.concatenate([x[4] for x in got]))
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (0, pa.int32()), (-1, pa.int64()), (types, pa.binary()), (toks, pa.binary()))], ["shard", "kind", "chunk", "types", "tokens"])
+        toks = _pack(np.array([x[0] for x in got], np.int64), np.array([len(x[3]) for x in got], np.int64), inverse.astype(np.uint32))
+        yield one(shard, 0, -1, types, toks)
 
 
 def stirling(d: float, n: int = EXACT) -> np.ndarray:
@@ -249,29 +259,25 @@ class Shard:
         return np.concatenate([np.bincount(self.context, self.tables, CONTEXTS), [self.customers.sum(), tables1, (self.word_count[plain] > 0).sum()], *h])
 
 
-def _add(df: DataFrame, sql_groups: int = 16) -> np.ndarray | None:
-    """Sum of the vectors in column v, in two steps: the driver gets `sql_groups` of them at most."""
+def _total(df: DataFrame, make, groups: int = 16) -> np.ndarray | None:
+    """Sum of make(number, payload) over rows, first within tasks, then in `groups` tasks: the driver gets a vector of each."""
 
-    def add(batches):
+    def summed(vectors):
         total, group = None, 0
-        for b in batches:
-            for g, x in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.frombuffer(zstandard.decompress(x.as_py()))
-                total, group = x.copy() if total is None else total + x, g
+        for g, x in vectors:
+            total, group = x.astype(np.float64) if total is None else total + x, g
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([zstandard.compress(total.tobytes())], pa.binary())], ["g", "v"])
-
-    once = df.mapInArrow(add, "g int, v binary").repartition(sql_groups, "g").mapInArrow(add, "g int, v binary").collect()
-    return sum(np.frombuffer(zstandard.decompress(bytes(r[1]))) for r in once) if once else None
+            yield pa.RecordBatch.from_arrays([pa.array([group % groups], pa.int32()), pa.array([zstandard.compress(total.tobytes())], pa.binary())], ["g", "v"])
 
+    @tidy
+    def first(batches):
+        return (yield from summed((n, make(n, x.as_py())) for b in batches for n, x in zip(b.column(0).to_pylist(), b.column(1))))
 
-def _vectors(make):
-    def run(batches):
-        for b in batches:
-            for shard, payload in zip(b.column(0).to_pylist(), b.column(1)):
-                yield pa.RecordBatch.from_arrays([pa.array([shard % 16], pa.int32()), pa.array([zstandard.compress(make(shard, payload.as_py()).astype(np.float64).tobytes())], pa.binary())], ["g", "v"])
+    def second(batches):
+        return summed((g, np.frombuffer(zstandard.decompress(x.as_py()))) for b in batches for g, x in zip(b.column(0).to_pylist(), b.column(1)))
 
-    return run
+    got = df.mapInArrow(first, "g int, v binary").repartition(groups, "g").mapInArrow(second, "g int, v binary").collect()
+    return sum(np.frombuffer(zstandard.decompress(bytes(r[1]))) for r in got) if got else None
 
 
 def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
@@ -292,14 +298,14 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
     hot = np.array([w for w, _ in many], np.uint64)
     spread = np.array([-(-n * 4 * shards // total) for _, n in many], np.uint64)
 
-    sent = text.mapInArrow(lambda bs: _send(bs, shards, hot, spread), "shard int, kind int, chunk long, payload binary")
-    kept = table(sent.repartition(shards, "shard").mapInArrow(_merge, "shard int, kind int, chunk long, types binary, tokens binary"), compression="none")
-    facts, types = kept.where("kind = 1").select("chunk", "types"), kept.where("kind = 0").select("shard", "types")
+    sent = text.mapInArrow(lambda bs: _send(bs, shards, hot, spread), "shard int, kind int, chunk long, payload binary, tokens binary")
+    kept = table(sent.repartitionById(shards, "shard").mapInArrow(_merge, "shard int, kind int, chunk long, types binary, tokens binary"), compression="none")
+    facts, types = kept.where("kind = 1"), kept.where("kind = 0").select("shard", "types")
 
     def customers(_, payload):
         return _unpack(payload)[4]
 
-    by_context = _add(facts.mapInArrow(_vectors(customers), "g int, v binary"))
+    by_context = _total(facts.select("chunk", "types"), customers)
     by_context = np.zeros(CONTEXTS) if by_context is None else by_context
     sums = Sums(by_context, hot, 0.0, by_context.sum())
     for sweep in range(BURN_IN + 1):
@@ -312,7 +318,7 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
                 s.tables, s.customers = np.minimum(s.count, 1), s.customers
             return s.totals()
 
-        got = _add(types.mapInArrow(_vectors(swept), "g int, v binary"))
+        got = _total(types, swept)
         if got is None:
             break
         last, sums = sums, Sums(by_context, hot, 0.0, by_context.sum())
@@ -325,6 +331,7 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
     base = np.log10(sums.n + 0.1 * (sums.v + 1)) if sums.n + sums.v else np.log10(0.1)
     drawn = sums
 
+    @tidy
     def scored(batches):
         for b in batches:
             for shard, packed, toks in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
@@ -333,33 +340,37 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
                 for _ in range(SAMPLES):
                     s.draw(rng)
                     p += s.probability()
-                log_p, log_c, known = np.log10(p / SAMPLES), np.log10(s.known + 0.1)[s.of], (s.known > 0)[s.of]
-                chunk, size, many, type_, doc = _unpack(toks.as_py())
+                log_p, count = np.log10(p / SAMPLES).astype(np.float32), s.known.astype(np.int64)
+                chunk, size, type_ = _unpack(toks.as_py())
                 at = 0
-                for c, n, m in zip(chunk.tolist(), size.tolist(), many.tolist()):
-                    k, d = type_[at : at + n], doc[at : at + n]
+                for c, n in zip(chunk.tolist(), size.tolist()):
+                    k = type_[at : at + n]
                     at += n
-                    sums_ = [np.bincount(d, x[k], m) for x in (log_p, log_c, known)]
-                    yield pa.RecordBatch.from_arrays([pa.array([c]), pa.array([_pack(sums_[0], sums_[1], sums_[2].astype(np.uint32))], pa.binary()), pa.array([False])], ["chunk", "payload", "fact"])
+                    w = s.of[k]
+                    first = np.flatnonzero(np.diff(w, prepend=-1))
+                    yield pa.RecordBatch.from_arrays([pa.array([c]), pa.array([shard], pa.int32()), pa.array([_pack(log_p[k], np.diff(np.append(first, n)).astype(np.uint32), count[w[first]])], pa.binary()), pa.array([None], pa.binary())], ["chunk", "shard", "payload", "tokens"])
 
+    @tidy
     def joined(batches):
         chunks: dict[int, list] = {}
         for b in batches:
-            for c, payload, fact in zip(*(x.to_pylist() for x in b.columns)):
-                now = chunks.setdefault(c, [None, None])
-                if fact:
-                    now[0] = _unpack(payload)[:4]
-                else:
-                    got = _unpack(payload)
-                    now[1] = [x.astype(np.float64) for x in got] if now[1] is None else [x + y for x, y in zip(now[1], got)]
+            for c, shard, payload, toks in zip(*(x.to_pylist() for x in b.columns)):
+                chunks.setdefault(c, []).append((shard, payload, toks))
         n = int(drawn.n)
-        for (doc_id, null, train_, n_tokens), (log_p, log_c, known) in chunks.values():
+        for c in list(chunks):
+            (_, facts_, toks), *answers = sorted(chunks.pop(c), key=lambda x: x[0])
+            doc_id, null, train_, n_tokens, _ = _unpack(facts_)
+            many, doc = _unpack(toks)
+            got = [_unpack(p) for _, p, _ in answers]
+            log_p = np.repeat(np.concatenate([x[0] for x in got]).astype(np.float64), many)
+            count = np.repeat(np.concatenate([np.repeat(x[2], x[1]) for x in got]), many)
+            add = lambda x: np.bincount(doc, x, len(doc_id))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_id, mask=null), pa.array(train_), pa.array(n_tokens), pa.array(known.astype(np.int64)), pa.array(np.full(len(doc_id), n)), pa.array(log_c - n_tokens * base), pa.array(log_p)],
+                [pa.array(doc_id, mask=null), pa.array(train_), pa.array(n_tokens), pa.array(add(count > 0).astype(np.int64)), pa.array(np.full(len(doc_id), n)), pa.array(add(np.log10(count + 0.1)) - n_tokens * base), pa.array(add(log_p))],
                 ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    each = kept.where("kind = 0").select("shard", "types", "tokens").mapInArrow(scored, "chunk long, payload binary, fact boolean")
-    both = each.unionAll(facts.select("chunk", F.col("types").alias("payload"), F.lit(True).alias("fact")))
+    each = kept.where("kind = 0").select("shard", "types", "tokens").mapInArrow(scored, "chunk long, shard int, payload binary, tokens binary")
+    both = each.unionAll(facts.select("chunk", F.lit(-1).alias("shard"), F.col("types").alias("payload"), "tokens"))
     drop_table(often)
     return both.repartition(shards, "chunk").mapInArrow(joined, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
