@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, roots, runs
-from .util import alnum_table, grams, mix, parts, slices, table, tidy, words
+from .util import alnum_table, grams, mix, parts, release, slices, table, tidy, words
 
 WORDS, THRESHOLD = 5, 0.8
 RUNS, DEPTH, SMALL, HASHES = 10, 3, 256, 64
 #: Signature places that must agree for an exact comparison: at similarity 0.8, 1 pair in 10,000 has fewer.
-AGREE, BLOCK = 38, 1024
+AGREE, BLOCK = 38, 4096
 #: Bytes of shingles, and nodes, in a block of the exact comparison. Nodes that a broadcast may have.
-BLOCK_BYTES, BLOCK_NODES, BROADCAST_ROWS = 8 << 20, 512, 500_000
+BLOCK_BYTES, BLOCK_NODES, BROADCAST_ROWS = 8 << 20, 2048, 500_000
 _TABLE = alnum_table()
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -220,7 +220,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         done = here if last else here.where(F.col("size") <= SMALL)
         buckets.append(done.select(F.col(key).alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")))
         if not last:
-            left = here.where(F.col("size") > SMALL).drop("size")
+            left = table(here.where(F.col("size") > SMALL).drop("size"))  # few rows, which the next steps read again
     bucket = buckets[0].union(buckets[1]).union(buckets[2])
     mini = nodes.select("node", F.col("sig"))
     blocks = _pairs_of_blocks(bucket, "bucket", "blocks", "node").join(mini.mapInArrow(_low_bytes, "node long, sig binary"), "node")
@@ -230,6 +230,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     alike = blocks.repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
     near = components(alike)
 
+    release(spark)
     group = near.union(near.select(F.col("root").alias("node"), "root").distinct())
     want = table(nodes.select("node", "rep", "n").join(group, "node"))
     chosen = F.broadcast(want) if want.count() <= BROADCAST_ROWS else want

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import _powers, mix, parts, slices, table, text_bytes, tidy
+from .util import _powers, mix, parts, release, slices, table, text_bytes, tidy
 
 LENGTH, ANCHOR, SEGMENT = 100, 24, 1 << 20
 #: Bytes of text that a task gathers before it sends stretches on, and that one shard of anchors stands for.
@@ -339,7 +339,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kept_text: bool = True
     its rows have the same number in both passes.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("uid"))
-    found = table(repeated_spans(rows, length), compression="zstd").groupBy("uid").agg(F.collect_list("spans").alias("spans"))
+    spans = table(repeated_spans(rows, length))
+    release(docs.sparkSession)  # the stretches are no longer needed
+    found = spans.groupBy("uid").agg(F.collect_list("spans").alias("spans"))
 
     @tidy
     def run(batches):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -63,6 +64,12 @@ def _clean() -> None:
             shutil.rmtree(path.split("file:", 1)[1].replace("//", "/", 1), ignore_errors=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def parts(spark: SparkSession, size: int | None, each: int) -> int:
     """Partitions for `size` bytes (or rows) at about `each` per task, never fewer than the session's setting."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size or 0) // each), 1)
