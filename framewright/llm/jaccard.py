@@ -25,7 +25,7 @@ RUNS, DEPTH, SMALL, HASHES = 10, 3, 256, 64
 #: Signature places that must agree for an exact comparison: at similarity 0.8, 1 pair in 10,000 has fewer.
 AGREE, BLOCK = 38, 4096
 #: Bytes of shingles, and nodes, in a block of the exact comparison. Nodes that a broadcast may have.
-BLOCK_BYTES, BLOCK_NODES, BROADCAST_ROWS = 8 << 20, 2048, 500_000
+BLOCK_BYTES, BLOCK_NODES, BROADCAST_ROWS = 24 << 20, 2048, 500_000
 _TABLE = alnum_table()
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,19 +166,22 @@ def _exact(batches, threshold: float):
             at, node, n = at[keep], node[keep], n[keep]
             sets = [np.frombuffer(g.column(7)[int(k)].as_py(), np.uint64) for k in keep]
             size = np.array([len(s) for s in sets])
-            all_, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-            place = np.full(len(all_), -1)
-            shared = count > 1
-            place[shared] = np.arange(shared.sum())
-            col, row = place[inverse], np.repeat(np.arange(len(sets)), size)
-            row, col = row[col >= 0], col[col >= 0]
-            order = np.argsort(col, kind="stable")
-            row, col = row[order], col[order]
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            flat = flat[order]
+            row = np.repeat(np.arange(len(sets), dtype=np.int32), size)[order]
+            del order
+            first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            many = np.diff(np.append(first, len(flat)))
+            shared = int((many > 1).sum())  # shingles of one set alone are in no intersection
+            row = row[np.repeat(many > 1, many)]
+            col = np.repeat(np.arange(shared), many[many > 1])
+            del flat
             left = np.flatnonzero(at == i)
             right = left if i == j else np.flatnonzero(at == j)
             both = np.zeros((len(left), len(right)), np.float32)
             step = max(256, (1 << 22) // len(sets))
-            for s in range(0, int(shared.sum()), step):
+            for s in range(0, shared, step):
                 x, y = np.searchsorted(col, (s, s + step))
                 m = np.zeros((len(sets), step), np.float32)
                 m[row[x:y], col[x:y] - s] = 1
