@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import slices, table, tidy
+from .util import release, slices, table, tidy
 
 # The rules, in the order in which kinds count at an equal start. Each has the pattern, the
 # group whose length counts, the least length, and texts of which one must be there (lower-cased for assign).
@@ -120,6 +120,7 @@ def scan(versions: DataFrame, ledger_path: str | None = None) -> DataFrame:
         ledger = spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == RULE_VERSION)
     else:
         ledger = table(scan_unseen(versions))
+        release(spark)  # the shuffled texts are no longer needed
     found = ledger.where("spans <> ''").drop("rule_version")
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_assign", "n_access", "n_hex")]
     text = [F.coalesce(c, F.lit("")).alias(c) for c in ("base", "spans")]
@@ -141,6 +142,7 @@ def redact(docs: DataFrame, ledger_path: str | None = None, mask: str = "[secret
         ledger = docs.sparkSession.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == RULE_VERSION)
     else:
         ledger = table(scan_unseen(docs))
+        release(docs.sparkSession)  # the shuffled texts are no longer needed
     spans = name + "s"
     found = ledger.where("spans <> ''").select(F.col("blob").alias(name), F.col("spans").alias(spans))
     out = keyed.join(found, name, "left")
