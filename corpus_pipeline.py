@@ -24,8 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which windows of at most one benchmark item occur."""
-    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    """Documents in which no window of any benchmark item occurs."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"), min_items=1)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
