@@ -11,6 +11,7 @@ buckets. What signatures join is then compared exactly, every pair within, in bl
 from __future__ import annotations
 
 import hashlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +156,7 @@ def _sets(batches):
 @tidy
 def _exact(batches, threshold: float):
     """Links of each node to others of its block pair, counting copies, and the least node that links reach."""
+    ratio = Fraction(threshold).limit_denominator(1_000_000)  # 0.8 is 4/5: ties are decided in integers
     for b in runs(batches, 0):
         for a, z in zip(*_cut(b, 4)):
             if z - a < 2:
@@ -179,14 +181,15 @@ def _exact(batches, threshold: float):
             del flat
             left = np.flatnonzero(at == i)
             right = left if i == j else np.flatnonzero(at == j)
-            both = np.zeros((len(left), len(right)), np.float32)
+            both = np.zeros((len(left), len(right)), np.int32)
             step = max(256, (1 << 22) // len(sets))
             for s in range(0, shared, step):
                 x, y = np.searchsorted(col, (s, s + step))
                 m = np.zeros((len(sets), step), np.float32)
                 m[row[x:y], col[x:y] - s] = 1
-                both += m[left] @ m[right].T
-            hit = both * (1 + threshold) >= threshold * (size[left][:, None] + size[right]) - 1e-6
+                both += (m[left] @ m[right].T).astype(np.int32)
+            # shared >= ratio * (both sizes - shared), solved for the least number shared
+            hit = both >= -(-ratio.numerator * (size[left][:, None] + size[right]) // (ratio.numerator + ratio.denominator))
             if i == j:
                 np.fill_diagonal(hit, False)
             links = np.zeros(len(node), np.int64)

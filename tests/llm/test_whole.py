@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
 import corpus_pipeline
+from framewright.llm import jaccard
 
 
 def test_stage_removes_single_item_documents(spark, tmp_path):
@@ -9,3 +10,14 @@ def test_stage_removes_single_item_documents(spark, tmp_path):
     spark.createDataFrame([(1, item), (2, "another item that no document has at all in it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.benchmark_passages(spark, docs, str(tmp_path)).collect()} == {3, 4, 5}
+
+
+def test_jaccard_links_ties(spark):
+    rows, want = [], {}
+    # words of a pair: shared shingles, those of either text alone; every second pair is at 0.8, the others just below
+    for k, (shared, one, other) in enumerate([(12, 1, 2), (12, 2, 2), (24, 2, 4), (24, 3, 4), (28, 3, 4), (28, 4, 4), (32, 8, 0), (32, 8, 1)]):
+        for d, (end, n) in enumerate((("a", one), ("b", other))):
+            rows.append((2 * k + d, " ".join([*(f"p{k}w{x}" for x in range(shared + 4)), *(f"p{k}{end}{x}" for x in range(n))])))
+            want[2 * k + d] = (2 * k, 1) if k % 2 == 0 else (2 * k + d, 0)
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == want
