@@ -2,9 +2,10 @@
 
 The standard library's streaming parser gives events; block-level tags cut them into lines. A line's ratio
 is its text over its tags; ratios are smoothed by a Gaussian along the page, and lines over the threshold,
-the standard deviation of the smoothed ratios, are content. Content lines vote, by their length, for the
-elements around them: the region is the article or main element with most votes, else the deepest element
-with VOTES of them. All lines of the region that stand in no boilerplate element are the text.
+the standard deviation of the smoothed ratios, are content, and none of them is left out. The outermost
+article around each content line, or the main element where there is no article, is a region; all regions of
+the page count. Without such elements the region is the deepest element around all content lines. The other
+lines of a region that stand in no boilerplate element are text as well.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIGMA, VOTES = 1.5, 0.7
+SIGMA = 1.5
 
 # HTML elements by what they do here.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section summary table tbody td template tfoot th thead title tr ul".split())
@@ -171,30 +172,36 @@ def main_text(html: str | None) -> str:
     mean = sum(even) / len(even)
     threshold = math.sqrt(sum((x - mean) ** 2 for x in even) / len(even))
     content = [k for k, (x, line) in enumerate(zip(even, lines)) if x >= threshold and line[0] and not line[4] and ratios[k] > 0]
+    chosen = set(content)
     if not content:
         content = [k for k, line in enumerate(lines) if line[0] and not line[4]]
-    votes: dict[int, int] = {}
+    named, common = set(), None
     for k in content:
-        at = lines[k][3]
-        while True:
-            votes[at] = votes.get(at, 0) + len(lines[k][0])
-            if not at:
-                break
-            at = page.parent[at]
-    named = [e for e in votes if page.kind[e] == "article"] or [e for e in votes if page.kind[e] == "main"]
-    # elements are numbered as they open, so of the chain with VOTES the last is the deepest
-    region = max(named, key=lambda e: (votes[e], -e)) if named else max(e for e in votes if votes[e] >= VOTES * votes[0])
-    inside = {region}
-    for e in range(region + 1, len(page.parent)):
+        around = [lines[k][3]]
+        while around[-1]:
+            around.append(page.parent[around[-1]])
+        named.update(([e for e in around if page.kind[e] == "article"] or [e for e in around if page.kind[e] == "main"])[-1:])
+        common = set(around) if common is None else common & set(around)
+    inside = named or {max(common)}  # elements are numbered as they open, so the last of a chain is the deepest
+    for e in range(min(inside) + 1, len(page.parent)):
         if page.parent[e] in inside:
             inside.add(e)
-    kept = [k for k, line in enumerate(lines) if line[0] and not line[4] and line[3] in inside]
+    kept = [k for k, line in enumerate(lines) if line[0] and not line[4] and (line[3] in inside or k in chosen)]
     if not named:  # no element says where the article is: from the heading before the first content line to the last
-        first, last = content[0], max(k for k in content if lines[k][3] in inside)
-        first = min((k for k in content if lines[k][3] in inside), default=first)
+        first, last = content[0], content[-1]
+        beside = lambda k, edge: page.parent[lines[k][3]] == page.parent[lines[edge][3]] and lines[k][2] <= 0.5 * len(lines[k][0])
+        # short lines before and after, as long as they stand in the same element as the content
+        for k in reversed([k for k in kept if k < content[0]]):
+            if not beside(k, content[0]):
+                break
+            first = k
+        for k in [k for k in kept if k > content[-1]]:
+            if not beside(k, content[-1]):
+                break
+            last = k
         heads = [k for k in kept if k < first and page.kind[lines[k][3]] in HEADINGS]
         first = min(heads[-1:] + [first]) if heads and heads[-1] >= first - 4 else first
-        kept = [k for k in kept if first <= k <= last and lines[k][2] <= 0.5 * len(lines[k][0])]
+        kept = [k for k in kept if first <= k <= last and (k in chosen or lines[k][2] <= 0.5 * len(lines[k][0]))]
     return "\n".join(lines[k][0] for k in kept)
 
 

@@ -1,7 +1,9 @@
 """Cases in which an operator once did less than its whole job."""
 
+import pytest
+
 import corpus_pipeline
-from framewright.llm import jaccard
+from framewright.llm import html, jaccard
 
 
 def test_stage_removes_single_item_documents(spark, tmp_path):
@@ -21,3 +23,21 @@ def test_jaccard_links_ties(spark):
             want[2 * k + d] = (2 * k, 1) if k % 2 == 0 else (2 * k + d, 0)
     got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == want
+
+
+LINE = "Some long text that goes on and on, {} times over and then some more."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<body><div id=a><p>{0}</p><p>{1}</p><p>{2}</p></div><div id=b><p>{3}</p></div></body>", "{0}\n{1}\n{2}\n{3}"),
+        ("<article><p>{0}</p></article><article><p>{1}</p><p>{2}</p></article>", "{0}\n{1}\n{2}"),
+        ("<main><p>{0}</p><p>{1}</p><p>{2}</p><article><p>{3}</p></article></main>", "{0}\n{1}\n{2}\n{3}"),
+        ("<article><p>{0}</p></article><div><p>{1}</p><p>{2}</p></div>", "{0}\n{1}\n{2}"),
+        ("<div><p>{0}</p><p>{1}</p><p>{2}</p><p>{3}</p><hr><br><p>End.</p></div>", "{0}\n{1}\n{2}\n{3}\nEnd."),
+    ],
+)
+def test_all_content_of_a_page(page, want):
+    lines = [LINE.format(x) * 3 for x in ("one", "two", "three", "four")]
+    assert html.main_text(page.format(*lines)) == want.format(*lines)
