@@ -199,7 +199,7 @@ _PX = f"""{ctes('frames')}, e as (select vid, t, unnest(px) p, unnest(range(64))
 
 @query(_PX + "select * from mask")
 def motion_mask(spark, sf):
-    return signal.motion_mask(signal.pixels(view(spark, sf, "frames"), 8), reach=1)
+    return signal.mask_rows(signal.motion_masks(view(spark, sf, "frames"), 8, ["vid"], reach=1), 8)
 
 
 @query(
@@ -212,8 +212,8 @@ def motion_mask(spark, sf):
   select f.vid, f.t, round(coalesce(max(r), 0), 6) score from f_frames f left join r using (vid, t) group by f.vid, f.t"""
 )
 def change_scores(spark, sf):
-    px = signal.pixels(view(spark, sf, "frames"), 8)
-    got = signal.change_scores(px, signal.motion_mask(px, reach=1), 8, 8, block=4, least=5)
+    f = view(spark, sf, "frames")
+    got = signal.slide_scores(f, signal.motion_masks(f, 8, ["vid"], reach=1), 8, ["vid"], block=4, least=5)
     return got.select("vid", "t", F.round("score", 6).alias("score"))
 
 
@@ -433,9 +433,19 @@ def topk_pool(spark, sf):
     return detections.top_pool(_boxes(spark, sf)).select("img", "rid", F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+_AREA = "(b.x2 - b.x1) * (b.y2 - b.y1)"
+_OVER = "greatest(0, least(b.x2, p.x2) - greatest(b.x1, p.x1)) * greatest(0, least(b.y2, p.y2) - greatest(b.y1, p.y1))"
+
+
+@query(
+    f"""{ctes('boxes')}, q as (select img, rid, obj, {_BOX} from f_boxes), p as (select *, row_number() over (partition by img order by obj desc, rid) rank from q qualify rank <= 300),
+  w as (select distinct img, 0::bigint k, []::struct(rid bigint, x1 double, y1 double, x2 double, y2 double)[] kept from p
+    union all select w.img, w.k + 1, case when len(w.kept) < 32 and len(list_filter(w.kept, lambda b: ({_OVER}) / ({_AREA} + (p.x2 - p.x1) * (p.y2 - p.y1) - {_OVER}) > 0.7)) = 0
+      then list_append(w.kept, {{'rid': p.rid, 'x1': p.x1, 'y1': p.y1, 'x2': p.x2, 'y2': p.y2}}) else w.kept end from w join p on p.img = w.img and p.rank = w.k + 1),
+  last as (select img, arg_max(kept, k) kept from w group by img), out as (select img, unnest(range(len(kept))) slot, kept from last)
+  select img, slot, kept[slot + 1].rid rid from out"""
+)
 def greedy_nms(spark, sf):
-    """Suppression is a fold over each image's pool: tested against a direct evaluation."""
     return detections.greedy_nms(_boxes(spark, sf))
 
 
@@ -663,12 +673,47 @@ def _advert(spark, sf):
 
 
 _QUERIES["advert_plan"] = _advert
+_SQL["advert_plan"] = (
+    f"""{ctes('frames')}, r as (select t - 3 r, px ref from f_frames where vid = 0 and t between 3 and 7),
+  e as (select vid, t - r idx, list_sum(list_transform(list_zip(px, ref), lambda p: abs(p[1] - p[2])))::bigint d, len(px) n from f_frames, r where t >= r),
+  f_scores as (select vid, idx, sum(d)::double / sum(n) score from e group by vid, idx having count(*) = 5), """
+    + _picks_sql("score <= 60", "arg_min(idx, (score, idx))", 5).split("), m as (", 1)[1].join(["m as (", ""]).rsplit("select vid, pos idx", 1)[0]
+    + "select vid, round_even(pos / 2.0::double * 30.0::double, 0)::bigint f_start, round_even((pos + 5) / 2.0::double * 30.0::double, 0)::bigint f_end from w where ok"
+)
+
+#: Scenes of ten samples a piece, and one of the whole video; those over min_split are looked at sample by sample.
+_SHOTS = """select vid, (t // 40) ord, min(t) * 15 f_start, max(t) * 15 + 7 f_end from f_frames group by vid, t // 40"""
 
 
 def _slides(spark, sf):
     f = view(spark, sf, "frames")
-    scenes = f.groupBy("vid").agg(F.lit(0).cast("long").alias("ord"), F.lit(0).cast("long").alias("f_start"), (F.max("t") * 15).alias("f_end"))
-    return pipelines.slide_plan(scenes, f, 30.0, 2.0, 8, 8, block=4, least=5).select("vid", "f_start", "f_end")
+    shots = f.groupBy("vid", F.expr("t div 40").alias("ord")).agg((F.min("t") * 15).alias("f_start"), (F.max("t") * 15 + 7).alias("f_end"))
+    return pipelines.slide_plan(shots, f, 30.0, 2.0, 8, 8, block=4, least=5, min_split=10, threshold=0.5, reach=1).select("vid", "ord", "f_start", "f_end")
 
 
 _QUERIES["slide_split"] = _slides
+_SQL["slide_split"] = f"""{ctes('frames')}, sc as ({_SHOTS}),
+  big as (select *, round_even(f_start / 30.0::double * 2.0::double, 0)::bigint lo, round_even(f_end / 30.0::double * 2.0::double, 0)::bigint + 1 hi from sc where f_end - f_start + 1 >= 300),
+  e as (select g.vid, g.ord, t - lo t, unnest(px) p, unnest(range(64)) k from big g join f_frames f on f.vid = g.vid and f.t >= lo and f.t < hi),
+  px as (select vid, ord, t, (k // 8)::int y, (k % 8)::int x, p::int p from e),
+  d as (select vid, ord, y, x, abs(p - lag(p) over (partition by vid, ord, y, x order by t)) d from px), m as (select vid, ord, y, x, avg(d) m from d group by all),
+  c as (select vid, ord, greatest(quantile_cont(m, 0.8), 1.5) cut from m group by vid, ord), busy as (select m.vid, m.ord, y, x from m join c on m.vid = c.vid and m.ord = c.ord and m > cut),
+  kp as (select m.vid, m.ord, m.y, m.x, not exists (select 1 from busy b where b.vid = m.vid and b.ord = m.ord and abs(b.y - m.y) <= 1 and abs(b.x - m.x) <= 1) keep from m),
+  mask as (select vid, ord, y, x, keep or avg(keep::int) over (partition by vid, ord) < 0.05 keep from kp),
+  s(o, w) as (values (-1, 1), (0, 2), (1, 1)), b as (select q.vid, q.ord, q.t, q.y, q.x, sum(n.p * a.w * c.w) / 16.0::double b from px q, s a, s c, px n
+    where n.vid = q.vid and n.ord = q.ord and n.t = q.t and n.y = (case when q.y + a.o < 0 then 1 when q.y + a.o > 7 then 6 else q.y + a.o end) and n.x = (case when q.x + c.o < 0 then 1 when q.x + c.o > 7 then 6 else q.x + c.o end)
+    group by all),
+  v as (select vid, ord, y, x, t, (abs(b - lag(b) over (partition by vid, ord, y, x order by t)) > 14)::int c from b),
+  r as (select v.vid, v.ord, v.t, sum(c)::double / count(*) r from v join mask using (vid, ord, y, x) where keep and c is not null group by v.vid, v.ord, v.t, v.y // 4, v.x // 4 having count(*) >= 5),
+  score as (select vid, ord, t idx, max(r) score from r group by all),
+  mm as (select *, idx - row_number() over (partition by vid, ord order by idx) run from score where score > 0.5 and idx >= 1),
+  bb as (select vid, ord, arg_max(idx, (score, -idx)) pos from mm group by vid, ord, run), oo as (select *, row_number() over (partition by vid, ord order by pos) k from bb),
+  w as (select vid, ord, k, pos last_pos, true ok, pos from oo where k = 1
+    union all select oo.vid, oo.ord, oo.k, case when oo.pos - last_pos >= 3 then oo.pos else last_pos end, oo.pos - last_pos >= 3, oo.pos from w join oo on oo.vid = w.vid and oo.ord = w.ord and oo.k = w.k + 1),
+  cuts as (select g.vid, g.ord, g.f_start, g.f_end, round_even((lo + pos - 0.5::double) * 30.0::double / 2.0::double, 0)::bigint pt from w join big g on g.vid = w.vid and g.ord = w.ord where ok),
+  ins as (select *, row_number() over (partition by vid, ord order by pt) k from (select distinct * from cuts where pt > f_start and pt <= f_end)),
+  z as (select vid, ord, f_start, f_end, f_start prev, 0::bigint k, null::bigint a, null::bigint e from sc
+    union all select z.vid, z.ord, z.f_start, z.f_end, case when pt - prev < 45 or z.f_end - pt < 45 then prev else pt end, ins.k,
+      case when pt - prev < 45 or z.f_end - pt < 45 then null else prev end, case when pt - prev < 45 or z.f_end - pt < 45 then null else pt - 1 end
+    from z join ins on ins.vid = z.vid and ins.ord = z.ord and ins.k = z.k + 1)
+  select vid, ord, a f_start, e f_end from z where a is not null union all select vid, ord, arg_max(prev, k), any_value(f_end) from z group by vid, ord"""

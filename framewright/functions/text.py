@@ -1,9 +1,11 @@
-"""Text of frames and transcripts: base forms, word runs and their reconciliation, all inside the JVM."""
+"""Text of frames and transcripts: base forms and word runs inside the JVM, their reconciliation in Arrow batches."""
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,31 +57,48 @@ def is_upper(text: Column) -> Column:
     return (F.upper(text) == text) & (F.lower(text) != text)
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once, however often and within whichever lambda it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+_WORD = re.compile(r"\w+")
+_MARKS = re.compile("[" + "".join(map(re.escape, filter(unicodedata.combining, map(chr, range(0x110000))))) + "]")
+
+
+def _plain(s: str) -> str:
+    """base_form of a string in Python."""
+    s = s.translate({0x111: "d", 0x110: "d"}).lower()
+    return s if s.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", s))
+
+
+def reconciled(base: str | None, vlm: str | None) -> str | None:
+    """reconcile_lines of one text. The reading's base form is one string, words parted by blanks, and so is each line's."""
+    if base is None or not vlm:
+        return base
+    said = _WORD.findall(vlm)
+    hay = f" {_plain(' '.join(said))} "
+    number, at = {}, 1  # of the word that begins at a place
+    for k, w in enumerate(hay[1:-1].split(" ")):
+        number[at] = k
+        at += len(w) + 1
+    lines = base.split("\n")
+    own = [" ".join(_WORD.findall(x)) for x in lines]
+    for k, (words_, needle) in enumerate(zip(own, _plain("\n".join(own)).split("\n"))):
+        place = hay.find(f" {needle} ") if needle else -1
+        if place >= 0:
+            first = number[place + 1]
+            text = " ".join(said[first : first + words_.count(" ") + 1])
+            lines[k] = text.upper() if lines[k].isupper() else text
+    return "\n".join(lines)
 
 
 def reconcile_lines(base: Column, vlm: Column) -> Column:
     """Lines of `base` with the words of the vision model's text, where a line's word run occurs there but for case and marks.
 
     Such a line becomes those words, joined by blanks, in capitals if it was; others stay. Null vlm counts as ''.
-    Runs are found as strings of words parted by blanks, which no word has.
+    Texts go to Python in Arrow batches: the search of a run in a long text has no fast form in the JVM.
     """
-    joined = lambda w: F.concat(F.lit(" "), F.array_join(F.transform(w, base_form), " "), F.lit(" "))
-    said = _let(words(F.coalesce(vlm, F.lit(""))), lambda w: F.struct(w.alias("w"), joined(w).alias("h")))
-
-    def line(x: Column, said: Column) -> Column:
-        def fixed(own: Column) -> Column:
-            at = F.position(joined(own), said["h"])
-            before = F.substr(said["h"], F.lit(1), at)
-            place = F.char_length(before) - F.char_length(F.replace(before, F.lit(" "), F.lit("")))
-            text = F.array_join(F.slice(said["w"], place, F.size(own)), " ")
-            return F.when((F.size(own) == 0) | (at == 0), x).otherwise(F.when(is_upper(x), F.upper(text)).otherwise(text))
 
-        return _let(words(x), fixed)
+    def run(base: pa.Array, vlm: pa.Array) -> pa.Array:
+        return pa.array(map(reconciled, base.to_pylist(), vlm.to_pylist()), pa.string())
 
-    return _let(said, lambda s: F.array_join(F.transform(F.split(base, "\n"), lambda x: line(x, s)), "\n"))
+    return F.arrow_udf(run, "string")(base, vlm)
 
 
 def normalize_transcript(text: Column) -> Column:

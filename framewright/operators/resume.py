@@ -25,8 +25,13 @@ def by_keys(wanted: DataFrame, done: DataFrame) -> DataFrame:
     return both.groupBy("vid").agg(F.max("_w").alias("_any"), F.max(F.when(F.col("_w").isNull() | F.col("_d").isNull(), 1)).alias("_off")).where("_any = 1 and _off = 1").select("vid")
 
 
+def failures(status: DataFrame) -> DataFrame:
+    """Videos of status (vid, ok) that failed, a row each, however many."""
+    return status.where(~F.col("ok")).select("vid")
+
+
 def status_summary(status: DataFrame) -> DataFrame:
-    """(done, failed, failed_ids): counts of status (vid, ok) and the failed videos, sorted."""
+    """(done, failed, failed_ids): counts of status (vid, ok) and the failed videos, sorted, in one text to be printed; see failures for rows."""
     return status.agg(F.count_if("ok").alias("done"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.array_join(F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("vid").cast("string")))), ","), F.lit("")).alias("failed_ids"))
 
 

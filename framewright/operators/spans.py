@@ -76,8 +76,9 @@ def cut_pieces(start: Column, end: Column, points: Column, min_len: Column | int
 
 
 def split_spans(spans: DataFrame, points: DataFrame, min_len: int, min_split: int = 0) -> DataFrame:
-    """spans cut at the points (vid, at) inside them (start < at <= end); spans shorter than min_split stay whole."""
-    inside = (F.col("p.vid") == F.col("s.vid")) & (F.col("p.at") > F.col("s.f_start")) & (F.col("p.at") <= F.col("s.f_end"))
+    """spans cut at the points (vid, at), or (vid, ord, at) of one span, inside them (start < at <= end); shorter ones than min_split stay whole."""
+    own = F.col("p.ord") == F.col("s.ord") if "ord" in points.columns else F.lit(True)
+    inside = (F.col("p.vid") == F.col("s.vid")) & own & (F.col("p.at") > F.col("s.f_start")) & (F.col("p.at") <= F.col("s.f_end"))
     by = ["vid", "ord", "f_start", "f_end"]
     got = spans.alias("s").join(points.alias("p"), inside, "left").select("s.*", F.col("p.at").cast("bigint").alias("_at")).groupBy(*by).agg(F.array_sort(F.collect_set("_at")).alias("_at"))
     long_ = F.col("f_end") - F.col("f_start") + 1 >= min_split

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import io
+import time
+import urllib.error
 import urllib.request
 import zipfile
+import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,12 +31,26 @@ def entry_range(header: Column, offset: Column, size: Column) -> Column:
 
 
 class RangeFile(io.RawIOBase):
-    """A seekable remote file by HTTP ranges."""
-
-    def __init__(self, url: str):
-        self.url, self.at = url, 0
-        with urllib.request.urlopen(urllib.request.Request(url, method="HEAD")) as r:
-            self.size = int(r.headers["Content-Length"])
+    """A seekable remote file by HTTP ranges. Failed requests are made again, `attempts` in all."""
+
+    def __init__(self, url: str, attempts: int = 4, wait: float = 0.5):
+        self.url, self.at, self.attempts, self.wait = url, 0, attempts, wait
+        _, headers, _ = self._ask("HEAD", {})
+        self.size = int(headers["Content-Length"])
+
+    def _ask(self, method: str, headers: dict, most: int | None = None) -> tuple[int, object, bytes]:
+        for k in range(self.attempts):
+            try:
+                with urllib.request.urlopen(urllib.request.Request(self.url, method=method, headers=headers), timeout=60) as r:
+                    return r.status, r.headers, r.read() if most is None else r.read(most)
+            except urllib.error.HTTPError as e:
+                if e.code < 500 and e.code != 429 or k + 1 == self.attempts:
+                    raise
+            except OSError:
+                if k + 1 == self.attempts:
+                    raise
+            time.sleep(self.wait * 2**k)
+        raise OSError(f"no attempt to read {self.url}")
 
     def seekable(self) -> bool:
         return True
@@ -52,17 +69,28 @@ class RangeFile(io.RawIOBase):
         n = min(len(buffer), self.size - self.at)
         if n <= 0:
             return 0
-        ask = urllib.request.Request(self.url, headers={"Range": f"bytes={self.at}-{self.at + n - 1}"})
-        with urllib.request.urlopen(ask) as r:
-            got = r.read()
+        status, _, got = self._ask("GET", {"Range": f"bytes={self.at}-{self.at + n - 1}"}, n)
+        if status != 206 and n < self.size:
+            raise OSError(f"{self.url} does not serve ranges: status {status}")
+        if not got:
+            raise OSError(f"{self.url} gave nothing at {self.at}")
         buffer[: len(got)] = got
         self.at += len(got)
         return len(got)
 
 
 class _Member(InputPartition):
-    def __init__(self, name: str, offset: int, size: int):
-        self.name, self.offset, self.size = name, offset, size
+    def __init__(self, name: str, offset: int, size: int, packed: int, method: int):
+        self.name, self.offset, self.size, self.packed, self.method = name, offset, size, packed, method
+
+
+def _whole(f, n: int) -> bytes:
+    """n bytes of a file that may give fewer at a time."""
+    parts = []
+    while n > 0 and (got := f.read(n)):
+        parts.append(got)
+        n -= len(got)
+    return b"".join(parts)
 
 
 class _Reader(DataSourceReader):
@@ -74,23 +102,30 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         with self._open() as f, zipfile.ZipFile(f) as z:
-            return [_Member(i.filename, i.header_offset, i.file_size) for i in z.infolist() if i.filename.endswith(self.ending)]
+            return [_Member(i.filename, i.header_offset, i.file_size, i.compress_size, i.compress_type) for i in z.infolist() if i.filename.endswith(self.ending)]
 
     def read(self, partition):
         with self._open() as f:
             f.seek(partition.offset)
-            head = f.read(HEADER)
+            head = _whole(f, HEADER)
             if head[:4] != SIGNATURE:
                 raise ValueError(f"bad local header for {partition.name}")
             lengths = head[LENGTHS : LENGTHS + 4]
             start = partition.offset + HEADER + int.from_bytes(lengths[:2], "little") + int.from_bytes(lengths[2:], "little")
             f.seek(start)
-            yield partition.name, partition.offset, start, start + partition.size - 1, f.read(partition.size)
+            content = _whole(f, partition.packed)
+            if partition.method == zipfile.ZIP_DEFLATED:
+                content = zlib.decompress(content, -15)
+            elif partition.method != zipfile.ZIP_STORED:
+                raise ValueError(f"{partition.name}: compression {partition.method}")
+            if len(content) != partition.size:
+                raise ValueError(f"{partition.name}: {len(content)} of {partition.size} bytes")
+            yield partition.name, partition.offset, start, start + partition.packed - 1, content
 
 
 class ZipMembers(DataSource):
-    """format("zip_members"): one partition for each stored member of an archive (option path: file or URL;
-    suffix, .mp4 unless given)."""
+    """format("zip_members"): one partition for each member of an archive (option path: file or URL;
+    suffix, .mp4 unless given). first_byte and last_byte are those of the member as stored; content is inflated."""
 
     @classmethod
     def name(cls) -> str:

@@ -155,6 +155,8 @@ def gray_frames(videos: DataFrame, fps: float, command: tuple[str, ...] = ("ffmp
                     while len(raw := pipe.stdout.read(width * height)) == width * height:
                         yield pa.RecordBatch.from_arrays([pa.array([vid]), pa.array([t]), pa.array([np.frombuffer(raw, np.uint8).astype(np.int16)], pa.list_(pa.int16()))], ["vid", "t", "px"])
                         t += 1
+                if pipe.returncode:
+                    raise RuntimeError(f"{vid}: the decoder ended with {pipe.returncode} after {t} frames")
 
     return videos.select("vid", "path").mapInArrow(run, "vid string, t long, px array<short>")
 
@@ -184,8 +186,33 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     return vec.join(ids, "vid").select("vid", "vec", "ids").mapInArrow(run, "vid string, row long, vec array<float>, vec_id long")
 
 
+def pcm(raw: bytes, width: int) -> np.ndarray:
+    """Samples of `width` bytes, little-endian, as numbers in -1..1; one byte is unsigned."""
+    if width == 1:
+        return (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
+    if width == 3:
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        return wide.view("<i4").ravel() / (1 << 31)
+    return np.frombuffer(raw, f"<i{width}") / (1 << (8 * width - 1))
+
+
+def decoded_samples(audio: DataFrame, rate: int = 16_000, command: tuple[str, ...] = ("ffmpeg",)) -> DataFrame:
+    """(vid, rate, samples) of audio or video files (vid, path) of any codec, mono, by an external decoder."""
+
+    def run(batches):
+        for b in batches:
+            for vid, path in zip(*(c.to_pylist() for c in b.columns)):
+                done = subprocess.run([*command, "-v", "error", "-i", path, "-ac", "1", "-ar", str(rate), "-f", "s16le", "-"], capture_output=True, check=False)
+                if done.returncode:
+                    raise RuntimeError(f"{vid}: {done.stderr.decode(errors='replace').strip()[-200:]}")
+                yield pa.RecordBatch.from_arrays([pa.array([vid]), pa.array([rate], pa.int32()), pa.array([pcm(done.stdout, 2).astype(np.float32)], pa.list_(pa.float32()))], ["vid", "rate", "samples"])
+
+    return audio.select("vid", "path").mapInArrow(run, "vid string, rate int, samples array<float>")
+
+
 def wav_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """(vid, rate, samples): 16-bit PCM .wav files, channels averaged, in -1..1. Other codecs need a decoder."""
+    """(vid, rate, samples): PCM .wav files of 8, 16, 24 or 32 bits, channels averaged, in -1..1. Other codecs need a decoder."""
     import wave
 
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(folder).select(stem(F.col("path")).alias("vid"), "content")
@@ -194,7 +221,7 @@ def wav_samples(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             for vid, content in zip(*(c.to_pylist() for c in b.columns)):
                 with wave.open(io.BytesIO(content)) as w:
-                    x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels()).mean(1) / 32768
+                    x = pcm(w.readframes(w.getnframes()), w.getsampwidth()).reshape(-1, w.getnchannels()).mean(1)
                     yield pa.RecordBatch.from_arrays([pa.array([vid]), pa.array([w.getframerate()], pa.int32()), pa.array([x.astype(np.float32)], pa.list_(pa.float32()))], ["vid", "rate", "samples"])
 
     return raw.mapInArrow(run, "vid string, rate int, samples array<float>")
