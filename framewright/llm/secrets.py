@@ -1,8 +1,9 @@
 """Secret scans with an incremental blob ledger.
 
 Every version of every path is addressed by the SHA-256 of its text. The ledger has a row for each
-(blob, rule version) pair that was ever scanned; a run scans only pairs it lacks, one text for each blob
-however many paths hold it, adds them, and joins findings back to all paths.
+(blob, rule version) pair that was ever scanned; a run scans only pairs it lacks, adds them, and joins
+findings back to all paths. Texts are scanned where they are read, each blob once in a task however many
+paths hold it; what moves are addresses and findings.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import release, slices, table, tidy
+from .util import slices, small, table, tidy
 
 # The rules, in the order in which kinds count at an equal start. Each has the pattern, the
 # group whose length counts, the least length, and texts of which one must be there (lower-cased for assign).
@@ -24,10 +25,10 @@ RULES = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20, ("AKIA",)),
     ("hex", r"[0-9a-f]+", 0, 24, ()),
     ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----", 0, 1, ("-----BEGIN",)),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1, ("eyJ",)),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+", 0, 1, ("eyJ",)),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1, ("gh",)),
 )
-RULE_VERSION, BASE = "1", 3
+RULE_VERSION, BASE = "2", 3
 _COMPILED = [(k, re.compile(p), g, n, need) for k, p, g, n, need in RULES]
 
 LEDGER = "blob binary, rule_version string, n_assign long, n_access long, n_hex long, base string, spans string"
@@ -65,16 +66,27 @@ def _hex_rows(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return found
 
 
+#: Addresses that a task remembers; beyond, it forgets them and may scan a blob again.
+REMEMBERED = 1 << 20
+
+
 @tidy
 def _scan(batches):
+    """Ledger rows of (blob, text), one for each blob of the task."""
+    seen: set[bytes] = set()
     for b in batches:
         rows = []
         for i, j, data, bounds in slices(b, "text"):
-            texts = b.column(1).slice(i, j - i).to_pylist()
-            for blob, text, run in zip(b.column(0).slice(i, j - i).to_pylist(), texts, _hex_rows(data, bounds)):
-                found = spans_of(text, bool(run))
-                name = [f"{RULES[k][0]}:{s}:{e}" for s, k, e in found]
-                n = [sum(k == x for _, k, _ in found) for x in range(BASE)]
+            run, col = _hex_rows(data, bounds), b.column(1)
+            for k, blob in enumerate(b.column(0).slice(i, j - i).to_pylist()):
+                if blob in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(blob)
+                found = spans_of(col[i + k].as_py(), bool(run[k]))
+                name = [f"{RULES[x][0]}:{s}:{e}" for s, x, e in found]
+                n = [sum(x == y for _, x, _ in found) for y in range(BASE)]
                 rows.append((blob, RULE_VERSION, *n, ",".join(x for x, f in zip(name, found) if f[1] < BASE), ",".join(name)))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _NAMES)
@@ -93,16 +105,34 @@ def addressed(versions: DataFrame) -> DataFrame:
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Ledger rows for the blobs of versions (doc_id, text) that `ledger` lacks under RULE_VERSION.
 
-    One version stands for each blob: of its rows the one of least doc_id is read again. Copies, however
-    many, meet only as (blob, least id) sums. Repeated rows give one ledger row; no version gives none.
+    Without a ledger all texts are scanned in place. With one, addresses alone decide which blobs are unseen; the
+    texts then meet these once, in place where they are few enough to be broadcast. One row for each blob;
+    repeated rows add nothing, and no version gives none.
     """
-    all_ = addressed(versions)
-    first = all_.groupBy("blob").agg(F.min(F.struct("doc_id")).alias("of"))
+    rows = addressed(versions).select("blob", "text")
     if ledger is not None:
-        first = first.join(ledger.where(F.col("rule_version") == RULE_VERSION).select("blob"), "blob", "left_anti")
-    first = first.select("blob", F.col("of.doc_id").alias("doc_id"))
-    same = all_["doc_id"].eqNullSafe(first["doc_id"]) & (all_["blob"] == first["blob"])
-    return all_.join(first, same, "left_semi").select("blob", "text").mapInArrow(_scan, LEDGER).dropDuplicates(["blob"])
+        known = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob")
+        rows = rows.join(rows.select("blob").distinct().join(known, "blob", "left_anti"), "blob", "left_semi")
+    return rows.mapInArrow(_scan, LEDGER).dropDuplicates(["blob"])
+
+
+def _ledger(versions: DataFrame, path: str | None) -> DataFrame:
+    """The ledger under RULE_VERSION after the unseen blobs of versions were added to it; one row for each blob."""
+    spark = versions.sparkSession
+    if not path:
+        return table(scan_unseen(versions))
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    scan_unseen(versions, spark.read.schema(LEDGER).parquet(path) if known else None).write.mode("append").parquet(path)
+    # runs beside each other, or one repeated after a failure, may have added a pair twice; its rows are alike
+    return spark.read.schema(LEDGER).parquet(path).where(F.col("rule_version") == RULE_VERSION).dropDuplicates(["blob"])
+
+
+def _findings(ledger: DataFrame) -> DataFrame:
+    """Ledger rows with findings, to be broadcast if they are few."""
+    found = ledger.where("spans <> ''").drop("rule_version")
+    size = found.agg(F.sum(F.octet_length("base") + F.octet_length("spans") + 100)).first()[0] or 0
+    return small(found, size)
 
 
 def scan(versions: DataFrame, ledger_path: str | None = None) -> DataFrame:
@@ -110,18 +140,10 @@ def scan(versions: DataFrame, ledger_path: str | None = None) -> DataFrame:
 
     versions: (doc_id, text), more columns are ignored. Null and empty texts have no findings ('' and 0).
     One row for each row of versions, repeated and null ids included. ledger_path: a folder that keeps the
-    ledger between runs; it is added to, never rewritten. Without it a ledger of this run is used.
+    ledger between runs; it is added to, never rewritten, and a pair that several runs added counts once.
+    Without it a ledger of this run is used.
     """
-    spark = versions.sparkSession
-    if ledger_path:
-        path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
-        known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        scan_unseen(versions, spark.read.schema(LEDGER).parquet(ledger_path) if known else None).write.mode("append").parquet(ledger_path)
-        ledger = spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == RULE_VERSION)
-    else:
-        ledger = table(scan_unseen(versions))
-        release(spark)  # the shuffled texts are no longer needed
-    found = ledger.where("spans <> ''").drop("rule_version")
+    found = _findings(_ledger(versions, ledger_path))
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_assign", "n_access", "n_hex")]
     text = [F.coalesce(c, F.lit("")).alias(c) for c in ("base", "spans")]
     return addressed(versions).select("doc_id", "blob").join(found, "blob", "left").select("doc_id", "blob", *zero, *text)
@@ -130,28 +152,24 @@ def scan(versions: DataFrame, ledger_path: str | None = None) -> DataFrame:
 def redact(docs: DataFrame, ledger_path: str | None = None, mask: str = "[secret]") -> DataFrame:
     """docs with every span of a finding replaced by `mask`; all columns and rows kept, n_chars brought up to date.
 
-    Overlapping spans become one mask. Each blob is scanned once (see scan); texts without findings stay as they are.
+    Overlapping spans become one mask. Texts are scanned as in scan; those without findings stay as they are. Texts
+    move once at most, and not at all while the findings are few enough to be broadcast.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     name = "__blob"
-    while name in docs.columns:
+    while name in docs.columns or name + "s" in docs.columns:
         name += "_"
     keyed = docs.withColumn(name, F.unhex(F.sha2(text.cast("binary"), 256)))
-    if ledger_path:
-        scan(docs, ledger_path)
-        ledger = docs.sparkSession.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == RULE_VERSION)
-    else:
-        ledger = table(scan_unseen(docs))
-        release(docs.sparkSession)  # the shuffled texts are no longer needed
     spans = name + "s"
-    found = ledger.where("spans <> ''").select(F.col("blob").alias(name), F.col("spans").alias(spans))
+    found = _findings(_ledger(docs, ledger_path)).select(F.col("blob").alias(name), F.col("spans").alias(spans))
     out = keyed.join(found, name, "left")
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, all_spans: pa.Array) -> pa.Array:
         return pa.array([_masked(t, s, mask) for t, s in zip(texts.to_pylist(), all_spans.to_pylist())], pa.string())
 
-    clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut(F.col("text"), F.coalesce(F.col(spans), F.lit(""))))
+    hit = F.col(spans).isNotNull()
+    clean = F.when(hit, cut(F.when(hit, F.col("text")), F.coalesce(F.col(spans), F.lit("")))).otherwise(F.col("text"))
     kept = [clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     out = out.select(*kept)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType))) if "n_chars" in docs.columns else out

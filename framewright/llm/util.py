@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import ctypes
 import functools
-import gc
 import os
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,40 +17,67 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _made: list[tuple[SparkSession, str]] = []
+#: Spark's own setting: a query's shuffle files go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which every executor sees.
 
-    Only where the session names none (local tests) a folder of this machine is set.
+    Only a local session (tests) may name none: a folder of this machine is set then. A cluster must name one.
     """
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="framewright-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place
 
 
 def table(df: DataFrame, *, compression: str = "zstd") -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: lineage ends at replicated files."""
+    """Writes df as Parquet to the shared folder and reads it back: lineage ends at replicated files.
+
+    The shuffle files behind it are deleted as soon as it is written; nothing lazy can refer to them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/framewright-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
     _made.append((spark, path))
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.select("*").write.option("compression", compression).parquet(path)  # a query of its own, planned under the setting
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._framewright_path = path
     return out
 
 
-def drop_table(df: DataFrame) -> None:
-    """Deletes the files of a table() that nothing lazy still reads."""
-    path = getattr(df, "_framewright_path", None)
-    if path:
-        _delete(df.sparkSession, path)
-        _made[:] = [x for x in _made if x[1] != path]
+def drop_table(*tables: DataFrame) -> None:
+    """Deletes the files of table()s that nothing lazy still reads."""
+    for df in tables:
+        path = getattr(df, "_framewright_path", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _made[:] = [x for x in _made if x[1] != path]
+
+
+@contextmanager
+def scratch(*keep: DataFrame):
+    """Drops all tables made inside when it ends, but those added to the list it gives."""
+    before, kept = {x[1] for x in _made}, list(keep)
+    try:
+        yield kept
+    finally:
+        stay = before | {getattr(df, "_framewright_path", None) for df in kept}
+        for spark, path in [x for x in _made if x[1] not in stay]:
+            _delete(spark, path)
+            _made.remove((spark, path))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    """On whatever file system the path is."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -58,16 +86,16 @@ def _delete(spark: SparkSession, path: str) -> None:
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:
-        if path.startswith("file:/"):
-            import shutil
-
-            shutil.rmtree(path.split("file:", 1)[1].replace("//", "/", 1), ignore_errors=True)
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001  the session has ended, its gateway with it
+            if path.startswith("file:/"):
+                shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Has Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+def small(df: DataFrame, bytes_: int, most: int = 16 << 20) -> DataFrame:
+    """df for the side of a join that may be broadcast: only if the measured `bytes_` are `most` at most; else Spark shuffles it."""
+    return F.broadcast(df) if bytes_ <= most else df
 
 
 def parts(spark: SparkSession, size: int | None, each: int) -> int:
@@ -87,6 +115,8 @@ def fold(column: str, mod: int) -> Column:
 
 def _trim() -> None:
     """Hands freed memory back, so that a worker kept for the next stage holds no more than its caches."""
+    if "p" in _pow and len(_pow["p"]) > 1 << 22:  # of a very long text
+        _pow.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
