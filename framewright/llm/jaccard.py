@@ -1,11 +1,12 @@
 """Jaccard join of shingle sets by chosen paths.
 
-A document is its set of word shingles; equal sets are one node with a count. In each of RUNS runs a node
-follows a path of sampled tokens, the least shingle under a hash of the run and level, so two nodes share
-each step with the chance of their similarity. A bucket of more than SMALL nodes is split by the next
-step, up to DEPTH; small buckets are compared one by one on short signatures. At similarity 0.8 a pair
-misses all RUNS buckets with a chance of (1 - 0.8^DEPTH)^RUNS = 0.1 % at most, and far less in small
-buckets. What signatures join is then compared exactly, every pair within, in blocks.
+A document is its set of word shingles; equal sets are one node with a count. In each run a bucket of more
+than SMALL nodes is split by sampled tokens: the bucket's own key chooses places of the nodes' signatures, one
+always and a second one in four times (1 / 0.8 on average), and a node goes on to one bucket for each, that of
+its least shingle there. Two nodes share such a step with the chance of their similarity. Buckets of SMALL
+nodes and those of the last level are compared by brute force on short signatures. BATCH runs at a time are
+repeated until a further batch moves fewer than 1 - TARGET of the linked nodes to another group. What signatures
+join is then compared exactly, every pair within, in blocks.
 """
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, roots, runs
-from .util import alnum_table, grams, mix, parts, release, slices, table, tidy, words
+from .util import alnum_table, drop_table, grams, mix, parts, scratch, slices, small, table, tidy, words
 
 WORDS, THRESHOLD = 5, 0.8
-RUNS, DEPTH, SMALL, HASHES = 10, 3, 256, 64
+#: Runs at a time; share of linked nodes that a further batch must leave where they are; levels; nodes of a small bucket.
+BATCH, TARGET, DEPTH, SMALL, HASHES = 5, 0.999, 4, 256, 64
 #: Signature places that must agree for an exact comparison: at similarity 0.8, 1 pair in 10,000 has fewer.
 AGREE, BLOCK = 38, 4096
-#: Bytes of shingles, and nodes, in a block of the exact comparison. Nodes that a broadcast may have.
-BLOCK_BYTES, BLOCK_NODES, BROADCAST_ROWS = 24 << 20, 2048, 500_000
+#: Bytes of shingles, and nodes, in a block of the exact comparison.
+BLOCK_BYTES, BLOCK_NODES = 24 << 20, 2048
 _TABLE = alnum_table()
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,18 +73,79 @@ def _signatures(batches):
             yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(node, pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "node", "sig"])
 
 
-def _paths(batches):
-    """For each run the keys of a node's path after 1..DEPTH steps."""
+def _chosen(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each bucket key the signature place it always chooses, and a second one or -1."""
+    x = mix(key ^ np.uint64(0x6A09E667F3BCC908))
+    one = (x % np.uint64(HASHES)).astype(np.int64)
+    other = (one + 1 + (x >> np.uint64(8)).astype(np.int64) % (HASHES - 1)) % HASHES
+    return one, np.where(x >> np.uint64(62) == 0, other, -1)
+
+
+def _step(key: np.ndarray, place: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    """Key of the bucket below `key` of nodes that agree at `place`."""
+    at = np.take_along_axis(sig, place[:, None], 1)[:, 0].astype(np.uint64)
+    return mix(key * np.uint64(0x9E3779B97F4A7C15) + at * np.uint64(0xD6E8FEB86659FD93) + place.astype(np.uint64))
+
+
+@tidy
+def _split(batches, first: int | None):
+    """(key, node) of the next level. first: number of a batch's first run, whose rows are (node, sig) and begin there."""
     for b in batches:
         if not b.num_rows:
             continue
-        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(b.num_rows, HASHES).astype(np.uint64)
-        for run in range(RUNS):
-            key, keys = np.full(b.num_rows, run, np.uint64), []
-            for level in range(DEPTH):
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, run * DEPTH + level] + np.uint64(level + 1))
-                keys.append(pa.array(key.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *keys], ["node", "k1", "k2", "k3"])
+        node = b.column(b.num_columns - 2).to_numpy(zero_copy_only=False)
+        sig = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint32).reshape(b.num_rows, HASHES)
+        keys = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)] if first is None else [np.full(b.num_rows, mix(np.array([run + 1], np.uint64))[0]) for run in range(first, first + BATCH)]
+        for k, key in enumerate(keys):
+            one, other = _chosen(key)
+            if first is not None:  # other places in each run while there are some
+                one, other = np.full_like(one, (first + k) % HASHES), np.full_like(one, (first + k + HASHES // 2) % HASHES if k % 4 == 3 else -1)
+            for place in (one, other):
+                some = np.flatnonzero(place >= 0)
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(_step(key[some], place[some], sig[some]).view(np.int64)), pa.array(node[some])], ["key", "node"])
+
+
+def _batch(nodes: DataFrame, first: int, tasks: int) -> DataFrame:
+    """(a, b): pairs that tell which nodes BATCH runs from number `first` on find alike."""
+    left = table(nodes.select("node", "sig").mapInArrow(lambda bs: _split(bs, first), "key long, node long"))
+    buckets = []
+    for level in range(1, DEPTH + 1):
+        # a table of its own: Spark splits a hot key of a join only if both sides are plain shuffles
+        count = table(left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+        here = left.join(count, "key")
+        done = here if level == DEPTH else here.where(F.col("size") <= SMALL)
+        buckets.append(done.select(F.col("key").alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+        if level < DEPTH:
+            large = here.where(F.col("size") > SMALL).select("key", "node").join(nodes.select("node", "sig"), "node").select("key", "node", "sig")
+            left = table(large.mapInArrow(lambda bs: _split(bs, None), "key long, node long"))
+            if left.isEmpty():
+                break
+    bucket = buckets[0]
+    for more in buckets[1:]:
+        bucket = bucket.union(more)
+    low = nodes.select("node", "sig").mapInArrow(_low_bytes, "node long, sig binary")
+    blocks = _pairs_of_blocks(bucket, "bucket", "blocks", "node").join(low, "node")
+    blocks = blocks.select("task", "bucket", "pair.i", "pair.j", "at", "node", "sig")
+    return blocks.repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
+
+
+def _groups(nodes: DataFrame, size: int) -> DataFrame:
+    """(node, root) of nodes that runs join, the runs repeated until TARGET is reached."""
+    tasks, k, near = parts(nodes.sparkSession, size * BATCH, 200_000), 0, None
+    while True:
+        with scratch() as kept:
+            alike = _batch(nodes, k * BATCH, tasks)
+            now = table(components(alike if near is None else alike.union(near.select("node", "root"))))
+            kept.append(now)
+        k += 1
+        if near is not None:
+            was = near.select("node", F.col("root").alias("was"))
+            seen = now.join(was, "node", "left").agg(F.count("*").alias("n"), F.count_if(~F.col("root").eqNullSafe(F.col("was"))).alias("moved")).first()
+            drop_table(near)
+            if seen["moved"] <= (1 - TARGET) * seen["n"]:
+                return now
+        near = now
 
 
 def _pairs_of_blocks(rows: DataFrame, key: str, blocks: str, node: str) -> DataFrame:
@@ -202,6 +265,40 @@ def _exact(batches, threshold: float):
             yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(links[some]), pa.array(root[some])], ["node", "links", "root"])
 
 
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Tables (doc_id, node), a row for each of docs, and (node, root, class_id, links)."""
+    spark = docs.sparkSession
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    with scratch() as kept:
+        signed = table(text.mapInArrow(_signatures, "doc_id long, node long, sig binary"))
+        # min(sig) is any row's: equal nodes have equal signatures
+        nodes = table(signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("sig").alias("sig")))
+        rows = table(signed.select("doc_id", "node"))
+        drop_table(signed)
+        size = nodes.count()
+        near = _groups(nodes, size)
+        group = near.union(near.select(F.col("root").alias("node"), "root").distinct())
+        nodes_ = table(nodes.select("node", "rep", "n"))
+        drop_table(nodes)
+        want = table(nodes_.join(group, "node"))
+        chosen = small(want, 32 * want.count())
+        again = text.join(chosen, text["doc_id"].eqNullSafe(chosen["rep"])).select("text", "node", "n", "root")
+        sets = table(again.mapInArrow(_sets, "node long, n long, root long, set binary"))
+        total = table(sets.groupBy("root").agg(F.greatest(F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_NODES)).alias("blocks")))
+        exact = _pairs_of_blocks(sets.join(total, "root"), "root", "blocks", "node").select("task", "root", "pair.i", "pair.j", "at", "node", "n", "set")
+        tasks = parts(spark, size, 20_000)
+        found = table(exact.repartition(tasks, "task").sortWithinPartitions("task", "root", "i", "j", "node").mapInArrow(lambda bs: _exact(bs, threshold), "node long, links long, root long"))
+        drop_table(sets)
+
+        linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+        root = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        full = nodes_.join(linked, "node", "left").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        low = full.groupBy("root").agg(F.min("rep").alias("class_id"))
+        done = table(full.join(low, "root").select("node", "root", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
+        kept += [rows, done]
+    return rows, done
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, n_links, kept) for every row of docs (doc_id, text); other columns are ignored.
 
@@ -211,48 +308,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows are copies of each other, and all rows of the id that stays are kept. Null ids are rows like
     others, but never a class's least id unless all are null. An empty table gives no row.
     """
-    spark = docs.sparkSession
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    read = table(text.mapInArrow(_signatures, "doc_id long, node long, sig binary"))
-    # min(sig) is any row's: equal nodes have equal signatures
-    nodes = table(read.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("sig").alias("sig")))
-    steps = table(nodes.select("node", "sig").mapInArrow(_paths, "node long, k1 long, k2 long, k3 long"))
-
-    left, buckets = steps, []
-    for level in range(1, DEPTH + 1):
-        key, last = f"k{level}", level == DEPTH
-        count = left.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
-        here = left.join(count, key)
-        done = here if last else here.where(F.col("size") <= SMALL)
-        buckets.append(done.select(F.col(key).alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-        if not last:
-            left = table(here.where(F.col("size") > SMALL).drop("size"))  # few rows, which the next steps read again
-    bucket = buckets[0].union(buckets[1]).union(buckets[2])
-    mini = nodes.select("node", F.col("sig"))
-    blocks = _pairs_of_blocks(bucket, "bucket", "blocks", "node").join(mini.mapInArrow(_low_bytes, "node long, sig binary"), "node")
-    blocks = blocks.select("task", "bucket", "pair.i", "pair.j", "at", "node", "sig")
-    size = nodes.count()
-    tasks = parts(spark, size * RUNS, 200_000)
-    alike = blocks.repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
-    near = components(alike)
-
-    release(spark)
-    group = near.union(near.select(F.col("root").alias("node"), "root").distinct())
-    want = table(nodes.select("node", "rep", "n").join(group, "node"))
-    chosen = F.broadcast(want) if want.count() <= BROADCAST_ROWS else want
-    again = text.join(chosen, text["doc_id"].eqNullSafe(chosen["rep"])).select("text", "node", "n", "root")
-    sets = table(again.mapInArrow(_sets, "node long, n long, root long, set binary"))
-    total = sets.groupBy("root").agg(F.greatest(F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_NODES)).alias("blocks"))
-    exact = _pairs_of_blocks(sets.join(total, "root"), "root", "blocks", "node").select("task", "root", "pair.i", "pair.j", "at", "node", "n", "set")
-    tasks = parts(spark, size, 20_000)
-    found = table(exact.repartition(tasks, "task").sortWithinPartitions("task", "root", "i", "j", "node").mapInArrow(lambda bs: _exact(bs, threshold), "node long, links long, root long"))
-
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    root = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    full = nodes.select("node", "rep", "n").join(linked, "node", "left").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    low = full.groupBy("root").agg(F.min("rep").alias("class_id"))
-    done = full.join(low, "root").select("node", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
-    out = read.select("doc_id", "node").join(done, "node", "left")
+    rows, done = _classes(docs, threshold)
+    out = rows.join(done, "node", "left")
     out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
@@ -265,16 +322,41 @@ def _low_bytes(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in low], pa.binary())], ["node", "sig"])
 
 
+def _node(text: pa.Array) -> pa.Array:
+    """Address of a text's shingle set, null without words."""
+    out = []
+    for _, _, data, bounds in slices(pa.RecordBatch.from_arrays([text], ["t"]), "t"):
+        g, first = shingles(data, bounds)
+        out += [node_of(np.unique(g[a:z])) if z > a else None for a, z in zip(first[:-1], first[1:])]
+    return pa.array(out, pa.int64())
+
+
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one document of each class, that of the least doc_id; columns as they are.
+    """docs with one row of each class, one of the least doc_id (a null id only if all are null); columns as they are.
 
-    Of repeated rows of that id one stays. Documents without words stay, as do rows with a null id whose
-    class has no other id.
+    Rows, not ids, stay or go: of repeated rows one stays, and where rows of one id have different texts each is judged
+    by its own text. Documents without words all stay. While few go, their ids are broadcast and no text
+    moves; beyond that texts are shuffled once, by id.
     """
-    ids = table(join(docs, threshold).where("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")))
-    out = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["__id"]), "left_semi")
-    again = ids.where("__rows > 1 and __id is not null").select("__id")
-    if again.isEmpty():
+    with scratch() as kept:
+        rows, done = _classes(docs, threshold)
+        each = rows.where("node is not null").distinct().join(done.select("node", "root"), "node")
+        least = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("of"))
+        stay = table(least.select(F.col("of.doc_id").alias("__id"), F.col("of.node").alias("__node")))
+        ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        odd = table(ids.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("__id")))
+        single = ids.where("n = 1 and doc_id is not null and node is not null")
+        gone = table(single.join(stay, (single["doc_id"] == stay["__id"]) & (single["node"] == stay["__node"]), "left_anti").select(F.col("doc_id").alias("__id")))
+        kept += [stay, odd, gone]
+    id_ = docs["doc_id"].cast("long")
+    n_gone, n_odd = gone.count(), odd.count()
+    leave = small(gone.union(odd), 8 * (n_gone + n_odd), 4 << 20)
+    out = docs.join(leave, id_.eqNullSafe(leave["__id"]), "left_anti")
+    if not n_odd:
         return out
-    twice = out.join(again, out["doc_id"].cast("long") == again["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return out.join(again, out["doc_id"].cast("long") == again["__id"], "left_anti").unionByName(twice)
+    again = small(odd, 8 * n_odd, 4 << 20)
+    twice = docs.join(again, id_.eqNullSafe(again["__id"]), "left_semi").select(F.struct("*").alias("__all"), F.arrow_udf(_node, "long")(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("__of"))
+    blank = twice.where("__of is null").select("__all.*")
+    judged = twice.where("__of is not null").join(stay, F.col("__all.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__node")), "left_semi")
+    one = judged.withColumn("__key", F.col("__all.doc_id").cast("long")).dropDuplicates(["__key", "__of"]).select("__all.*")
+    return out.unionByName(blank).unionByName(one)
