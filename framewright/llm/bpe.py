@@ -49,7 +49,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """Pieces: two sorted tables (many, and those since) of hash, byte length, begin and number of ids; -1: not sure."""
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)  # ids kept are few enough
         self.tables = [(np.zeros(0, np.uint64), none, none, none)] * 2
         self.ids, self.used = np.zeros(1 << 20, self.dtype), 0
 
@@ -99,7 +99,7 @@ class Encoder:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.tables[1] = self._joined(self.tables[1], (key, size, begin, n))
+        self.tables[1] = self._joined(self.tables[1], (key, size.astype(np.int32), begin.astype(np.int32), n.astype(np.int32)))
         if len(self.tables[1][0]) > 50_000 + len(self.tables[0][0]) // 8:
             self.tables = [self._joined(*self.tables), tuple(x[:0] for x in self.tables[1])]
 
@@ -135,7 +135,7 @@ class Encoder:
                 else:
                     rows.append(k)
                     size += len(s)
-                    if size >= 2 << 20:
+                    if size >= 1 << 20:
                         self._some(texts, rows, out)
                         rows, size = [], 0
             if rows:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import bpe
-from .util import table
+from .util import small, table, tidy
 
 
 def patterns(counts: np.ndarray, seq_len: int) -> list[tuple[int, list[int]]]:
@@ -60,24 +60,30 @@ def slots(found: list[tuple[int, list[int]]], seq_len: int) -> dict[int, tuple[n
 def pieces(docs: DataFrame, tokenizer: str, seq_len: int, end_id: int = 0, ids: bool = True) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, task, rank[, ids]): rank counts equal lengths within the task."""
 
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "rank"]
+
+    @tidy
     def run(batches):
         enc, task = bpe.encoder(tokenizer), TaskContext.get().partitionId()
-        seen = np.zeros(seq_len + 1, np.int64)
+        seen, end = np.zeros(seq_len + 1, np.int64), np.array([end_id], "<u4")
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 some = b.slice(i, 500)
-                rows = []
+                rows, flat = [], []
                 for d, x in zip(some.column(0).to_pylist(), enc.encode([t or "" for t in some.column(1).to_pylist()])):
-                    x = np.append(x.astype("<u4"), np.uint32(end_id))
+                    x = np.concatenate([x.astype("<u4"), end])
+                    flat.append(x)
                     for s in range(0, len(x), seq_len):
                         cut = x[s : s + seq_len]
-                        rows.append((d, s, len(cut), zlib.crc32(cut), len(x), task, int(seen[len(cut)])) + ((cut.tolist(),) if ids else ()))
+                        rows.append((d, s, len(cut), zlib.crc32(cut), len(x), task, int(seen[len(cut)])))
                         seen[len(cut)] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+                if ids:  # pieces lie end to end, as the ids of texts do
+                    ends = np.cumsum([0, *(r[2] for r in rows)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names + ["ids"] * ids)
 
-    fields = [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "rank")]
-    schema = pa.schema(fields + [("ids", pa.list_(pa.int64()))] * ids)
-    sql = ", ".join(f"{n} long" for n, _ in fields) + ", ids array<long>" * ids
+    sql = ", ".join(f"{n} long" for n in names) + ", ids array<int>" * ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, sql)
 
 
@@ -89,26 +95,26 @@ def pack_documents(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id:
     """
     cut = table(pieces(docs, tokenizer, seq_len, end_id, ids))
     # One row for each task and length: equal lengths, however many, are counted before any shuffle.
-    by_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
+    by_task = table(cut.groupBy("length", "task").agg(F.count("*").alias("n")))
     before = by_task.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n"))
     counts = np.zeros(seq_len + 1, np.int64)
-    for n, c in cut.groupBy("length").count().collect():
+    for n, c in by_task.groupBy("length").agg(F.sum("n")).collect():
         counts[n] = c
     where = slots(patterns(counts, seq_len), seq_len)
 
-    def place(batches):
-        for b in batches:
-            length, rank = (b.column(k).to_numpy(zero_copy_only=False) for k in (length_at, rank_at))
-            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            for n in np.unique(length):
-                mine = np.flatnonzero(length == n)
-                first, to, off = where[int(n)]
-                k = np.searchsorted(first, rank[mine], "right") - 1
-                sequence[mine], offset[mine] = to[k] + rank[mine] - first[k], off[k]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
-
+    def placed(length: pa.Array, rank: pa.Array, offsets: bool) -> pa.Array:
+        length, rank = length.to_numpy(), rank.to_numpy()
+        out = np.zeros(len(length), np.int64)
+        for n in np.unique(length):
+            mine = np.flatnonzero(length == n)
+            first, to, off = where[int(n)]
+            k = np.searchsorted(first, rank[mine], "right") - 1
+            out[mine] = off[k] if offsets else to[k] + rank[mine] - first[k]
+        return pa.array(out)
+
+    sequence = F.arrow_udf(lambda length, rank: placed(length, rank, False), "long")
+    offset = F.arrow_udf(lambda length, rank: placed(length, rank, True), "long")
+    side = small(before.select("length", "task", "before"), 24 * by_task.count())
+    rank = F.col("rank") + F.col("before")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * ids
-    ranked = cut.join(before.select("length", "task", "before"), ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before")).select(*names, "rank")
-    keep, length_at, rank_at = list(range(len(names))), 2, len(names)
-    sql = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * ids + ", sequence_id long, offset long"
-    return ranked.mapInArrow(place, sql)
+    return cut.join(side, ["length", "task"]).select(*names, sequence("length", rank).alias("sequence_id"), offset("length", rank).alias("offset"))

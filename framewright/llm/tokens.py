@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .util import drop_table, parts, shared_dir, table
+from .util import drop_table, parts, shared_dir, table, tidy
 
 LIMIT, STRIDE, BLOCK_IDS, PART_IDS = 18, 256, 1 << 20, 1 << 24
 
@@ -130,6 +130,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFrame
     seq tells rows of equal doc_id apart. Null text: empty. A last row of each task, of seq -1, has its counts by id.
     """
 
+    @tidy
     def run(batches):
         enc, task, row = bpe.encoder(tokenizer), TaskContext.get().partitionId(), 0
         counts = np.zeros(enc.size, np.int64)
@@ -182,6 +183,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     codes = codes_of(lengths)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
 
+    @tidy
     def block(batches):
         part, no, start = TaskContext.get().partitionId(), 0, 0
         docs_, ids, n = [], [], 0
@@ -226,6 +228,7 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     for part in sorted(sums):
         before[part], total = total, total + sums[part]
 
+    @tidy
     def run(batches):
         decoder = Decoder(lengths)
         for b in batches:
