@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from framewright.llm import decontaminate, jaccard, packing, quality, secrets
-from framewright.llm.util import fold, read, table, tokenizer_path
+from framewright.llm.util import drop_table, fold, read, scratch, table, tokenizer_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 1024 ids."""
-    return packing.pack_documents(docs, tokenizer_path(), 1024, ids=False)
+    """Pieces of all documents in sequences of 1024 ids, with their ids."""
+    return packing.pack_documents(docs, tokenizer_path(), 1024)
 
 
 STAGES = [("quality classifier", quality_classifier), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", benchmark_passages), ("secret scans", secret_scan), ("packing", pack)]
@@ -48,5 +48,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over documents."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = table(stage(spark, docs, sf_dir))
+        with scratch() as kept:  # tables that only this stage reads go when its result is written
+            after = table(stage(spark, docs, sf_dir))
+            kept.append(after)
+        drop_table(docs)
+        docs = after
     return docs
