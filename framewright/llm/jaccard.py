@@ -89,12 +89,13 @@ def _step(key: np.ndarray, place: np.ndarray, sig: np.ndarray) -> np.ndarray:
 
 @tidy
 def _split(batches, first: int | None):
-    """(key, node) of the next level. first: number of a batch's first run, whose rows are (node, sig) and begin there."""
+    """(key, node) of the next level. first: number of a batch's first run, whose rows are (node, sig) and begin there;
+    deeper rows are (key, node, sig) with signatures of a byte for each place, which part a bucket 256 ways."""
     for b in batches:
         if not b.num_rows:
             continue
         node = b.column(b.num_columns - 2).to_numpy(zero_copy_only=False)
-        sig = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint32).reshape(b.num_rows, HASHES)
+        sig = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint8 if first is None else np.uint32).reshape(b.num_rows, HASHES)
         keys = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)] if first is None else [np.full(b.num_rows, mix(np.array([run + 1], np.uint64))[0]) for run in range(first, first + BATCH)]
         for k, key in enumerate(keys):
             one, other = _chosen(key)
@@ -106,7 +107,7 @@ def _split(batches, first: int | None):
                     yield pa.RecordBatch.from_arrays([pa.array(_step(key[some], place[some], sig[some]).view(np.int64)), pa.array(node[some])], ["key", "node"])
 
 
-def _batch(nodes: DataFrame, first: int, tasks: int) -> DataFrame:
+def _batch(nodes: DataFrame, low: DataFrame, first: int, tasks: int) -> DataFrame:
     """(a, b): pairs that tell which nodes BATCH runs from number `first` on find alike."""
     left = table(nodes.select("node", "sig").mapInArrow(lambda bs: _split(bs, first), "key long, node long"))
     buckets = []
@@ -117,14 +118,13 @@ def _batch(nodes: DataFrame, first: int, tasks: int) -> DataFrame:
         done = here if level == DEPTH else here.where(F.col("size") <= SMALL)
         buckets.append(done.select(F.col("key").alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")))
         if level < DEPTH:
-            large = here.where(F.col("size") > SMALL).select("key", "node").join(nodes.select("node", "sig"), "node").select("key", "node", "sig")
+            large = here.where(F.col("size") > SMALL).select("key", "node").join(low, "node").select("key", "node", "sig")
             left = table(large.mapInArrow(lambda bs: _split(bs, None), "key long, node long"))
             if left.isEmpty():
                 break
     bucket = buckets[0]
     for more in buckets[1:]:
         bucket = bucket.union(more)
-    low = nodes.select("node", "sig").mapInArrow(_low_bytes, "node long, sig binary")
     blocks = _pairs_of_blocks(bucket, "bucket", "blocks", "node").join(low, "node")
     blocks = blocks.select("task", "bucket", "pair.i", "pair.j", "at", "node", "sig")
     return blocks.repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
@@ -133,9 +133,10 @@ def _batch(nodes: DataFrame, first: int, tasks: int) -> DataFrame:
 def _groups(nodes: DataFrame, size: int) -> DataFrame:
     """(node, root) of nodes that runs join, the runs repeated until TARGET is reached."""
     tasks, k, near = parts(nodes.sparkSession, size * BATCH, 200_000), 0, None
+    low = table(nodes.select("node", "sig").mapInArrow(_low_bytes, "node long, sig binary"))
     while True:
         with scratch() as kept:
-            alike = _batch(nodes, k * BATCH, tasks)
+            alike = _batch(nodes, low, k * BATCH, tasks)
             now = table(components(alike if near is None else alike.union(near.select("node", "root"))))
             kept.append(now)
         k += 1
