@@ -3,10 +3,14 @@
 Every `length`-byte window has an anchor, the leftmost of its ANCHOR-byte strings with least hash, so equal
 windows have equal anchors at equal places. Windows that follow each other on one anchor are one stretch of
 text. Stretches meet by the hash of their anchor: first in the task that reads them, where equal ones become
-one, then across tasks. Equal stretches repeat as a whole; where one anchor has several different stretches
-a suffix array finds what they share. It is built in two stages: only suffixes smaller than their successors
-are sorted, one scan over the buckets of first bytes induces the others, and adjacent common prefixes of
-`length` bytes or more mark equal windows.
+one, then across tasks. Stretches whose hashes are equal are compared byte by byte and repeat as a whole; where
+one anchor has several different stretches a suffix array finds what they share. It is built in two stages: only
+suffixes smaller than their successors are sorted, one scan over the buckets of first bytes induces the others,
+and adjacent common prefixes of `length` bytes or more mark equal windows.
+
+An anchor that has HOT different stretches where it is read, or more than ARRAY bytes of them where they meet, is
+split: its windows go on alone, by two hashes of all their bytes, so that no task gathers what stands around one
+common string.
 """
 
 from __future__ import annotations
@@ -19,13 +23,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import _powers, mix, parts, release, slices, table, text_bytes, tidy
+from .util import _powers, mix, parts, slices, table, text_bytes, tidy
 
 LENGTH, ANCHOR, SEGMENT = 100, 24, 1 << 20
 #: Bytes of text that a task gathers before it sends stretches on, and that one shard of anchors stands for.
 GATHER, SHARD = 16 << 20, 12 << 20
-#: Bytes of stretches that one suffix array is built over (more if one anchor alone has more).
+#: Bytes of stretches that one suffix array is built over.
 ARRAY = 1 << 20
+#: Different stretches of an anchor in one gathering, from which on its windows are sent one by one; bytes that a shard holds
+#: before it looks for such anchors.
+HOT, HELD = 64, 64 << 20
 _BITS = np.uint64(21)
 
 
@@ -178,9 +185,79 @@ def _equal(anchor: np.ndarray, whole: np.ndarray, *order: np.ndarray) -> tuple[n
     return o, again
 
 
+def _same_bytes(data: np.ndarray, begin: np.ndarray, size: np.ndarray, o: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """`again` of _equal where the bytes of both stretches agree as their hashes do."""
+    rows = np.flatnonzero(again)
+    ends = np.cumsum(size[o[rows]])
+    for part in np.split(rows, np.searchsorted(ends, np.arange(1 << 22, ends[-1] if len(ends) else 0, 1 << 22))):
+        if len(part):
+            a, b = o[part], o[part - 1]
+            n = np.minimum(size[a], size[b])
+            differ = np.add.reduceat((_gathered(data, begin[a], n) != _gathered(data, begin[b], n)).astype(np.int32), np.cumsum(n) - n)
+            again[part[(differ > 0) | (size[a] != size[b])]] = False
+    return again
+
+
+def _windows(data: np.ndarray, begin: np.ndarray, size: np.ndarray, uid, doc, start, length: int):
+    """(two hashes, doc, uid, start) of each window of stretches, the earliest of equal ones, and the others as (uid, start)."""
+    many = size - length + 1
+    row = np.repeat(np.arange(len(size)), many)
+    off = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    flat = _gathered(data, begin, size)
+    at = (np.cumsum(size) - size)[row] + off
+    half = length // 2
+    one, two = _hashes(flat, at, length), mix(_hashes(flat, at, half) * np.uint64(0x9E3779B97F4A7C15) + _hashes(flat, at + half, length - half))
+    out = one, two, doc[row], uid[row], start[row] + off
+    o = np.lexsort(out[::-1])
+    out = [x[o] for x in out]
+    new = np.ones(len(o), bool)
+    new[1:] = (out[0][1:] != out[0][:-1]) | (out[1][1:] != out[1][:-1])
+    return [x[new] for x in out], out[3][~new], out[4][~new]
+
+
+def _window_rows(data, begin, size, uid, doc, start, shards: int, length: int):
+    """Rows (shard, 2, payload) of windows, and the spans of those that repeat among them (kind 1)."""
+    ends = np.cumsum(size)
+    for part in np.split(np.arange(len(size)), np.searchsorted(ends, np.arange(1 << 20, ends[-1] if len(ends) else 0, 1 << 20))):
+        if not len(part):
+            continue
+        first, u, s = _windows(data, begin[part], size[part], uid[part], doc[part], start[part], length)
+        if len(u):
+            yield int(u[0]) % shards, 1, np.stack([u, s, s + length]).tobytes()
+        shard = (first[0] % np.uint64(shards)).astype(np.int64)
+        o = np.argsort(shard, kind="stable")
+        edge = np.append(np.flatnonzero(np.diff(shard[o], prepend=-1)), len(o))
+        for a, z in zip(edge[:-1], edge[1:]):
+            k = o[a:z]
+            yield int(shard[k[0]]), 2, zstandard.compress(b"".join([np.int64(len(k)).tobytes(), *(x[k].tobytes() for x in first)]), 1)
+
+
+@tidy
+def _meet(batches, length: int):
+    """Spans of all windows but the earliest of each content, over all shards in the task."""
+    shards: dict[int, list] = {}
+    for b in batches:
+        for shard, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            shards.setdefault(shard, []).append(payload)
+    for shard in list(shards):
+        parts_ = []
+        for p in shards.pop(shard):
+            raw = zstandard.decompress(p)
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            parts_.append(np.frombuffer(raw, np.int64, 5 * n, 8).reshape(5, n))
+        one, two, doc, uid, start = np.concatenate(parts_, 1)
+        o = np.lexsort((start, uid, doc, two, one))
+        again = np.zeros(len(o), bool)
+        again[1:] = (one[o][1:] == one[o][:-1]) & (two[o][1:] == two[o][:-1])
+        r = o[again]
+        if len(r):
+            yield _spans(uid[r], start[r], start[r] + length)
+
+
 @tidy
 def _send(batches, shards: int, length: int):
-    """Stretches by shard of anchor, one of each content; what repeats within the task as spans (shard -1)."""
+    """Rows (shard, kind, payload): stretches by shard of anchor, one of each content (kind 0), what repeats within the task
+    as spans (1), and windows of anchors that are hot there (2), with a note of these to their shard (3)."""
     squeeze = zstandard.ZstdCompressor(level=3)
     held, size_held = [], 0
 
@@ -190,11 +267,20 @@ def _send(batches, shards: int, length: int):
         raw = np.concatenate([x[7] for x in held])
         begin = np.cumsum(size) - size
         o, again = _equal(anchor, whole, doc, uid, start)
+        again = _same_bytes(raw, begin, size, o, again)
         rows = []
         if again.any():
             r = o[again]
             rows.append((int(uid[r[0]]) % shards, 1, np.stack([uid[r], start[r], start[r] + size[r]]).tobytes()))
         o = o[~again]
+        first = np.flatnonzero(np.append(True, anchor[o][1:] != anchor[o][:-1])) if len(o) else np.zeros(0, np.int64)
+        many = np.diff(np.append(first, len(o)))
+        hot = np.repeat(many >= HOT, many)
+        if hot.any():
+            r = o[hot]
+            rows += _window_rows(raw, begin[r], size[r], uid[r], doc[r], start[r], shards, length)
+            rows += [(int(x % np.uint64(shards)), 3, x.tobytes()) for x in anchor[o[first[many >= HOT]]]]
+            o = o[~hot]
         shard = (anchor[o] % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((start[o], uid[o], shard))
         o, shard = o[order], shard[order]
@@ -227,18 +313,43 @@ def _send(batches, shards: int, length: int):
 
 
 @tidy
-def _receive(batches, length: int):
-    """Spans (uid, start, end) that earlier text has, of all shards in the task."""
-    shards: dict[int, list] = {}
-    for b in batches:
-        for shard, kind, payload in zip(*(c.to_pylist() for c in b.columns)):
-            if kind:
+def _receive(batches, shards: int, length: int):
+    """Rows (kind, shard, uid, spans): spans that earlier text has, of all shards in the task (kind 0), and windows of
+    anchors that are hot, here or where they were read (2)."""
+    held: dict[int, _Shard] = {}
+
+    def forward(rows):
+        for shard, kind, payload in rows:
+            if kind == 1:
                 uid, start, end = np.frombuffer(payload, np.int64).reshape(3, -1)
-                yield _spans(uid, start, end)
+                yield _kind0(_spans(uid, start, end))
             else:
-                shards.setdefault(shard, []).append(payload)
-    for shard in list(shards):
-        yield from _shard(shards.pop(shard), length)
+                yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([shard], pa.int32()), pa.array([None], pa.int64()), pa.array([payload], pa.binary())], _ROWS)
+
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            shard, kind, payload = row
+            if kind in (1, 2):
+                yield from forward([row])
+            elif kind == 3:
+                held.setdefault(shard, _Shard(shards, length)).hot.add(payload)
+            else:
+                s = held.setdefault(shard, _Shard(shards, length))
+                s.add(payload)
+                if s.bytes > HELD:
+                    yield from forward(s.split())
+    for shard in list(held):
+        s = held.pop(shard)
+        yield from forward(s.split())
+        yield from map(_kind0, s.spans())
+
+
+_ROWS = ["kind", "shard", "uid", "spans"]
+
+
+def _kind0(spans: pa.RecordBatch) -> pa.RecordBatch:
+    n = spans.num_rows
+    return pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array([None] * n, pa.int32()), *spans.columns], _ROWS)
 
 
 def _spans(uid, start, end) -> pa.RecordBatch:
@@ -257,10 +368,14 @@ def _spans(uid, start, end) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u[edge[:-1]]), pa.array(pack, pa.binary())], ["uid", "spans"])
 
 
-def _shard(payloads: list, length: int):
-    held = []
-    while payloads:
-        raw = zstandard.decompress(payloads.pop())
+class _Shard:
+    """Stretches of the anchors of a shard."""
+
+    def __init__(self, shards: int, length: int):
+        self.shards, self.length, self.hot, self.parts, self.bytes = shards, length, set(), [], 0
+
+    def add(self, payload: bytes) -> None:
+        raw = zstandard.decompress(payload)
         m, docs = np.frombuffer(raw, np.int64, 2)
         at = 16
         fields = []
@@ -275,34 +390,63 @@ def _shard(payloads: list, length: int):
             z = min(a + 8192, m)
             piece, b = data[begin[a] : begin[z - 1] + size[z - 1]], begin[a:z] - begin[a]
             anchor[a:z], whole[a:z] = _hashes(piece, b + place[a:z], ANCHOR), _hashes(piece, b, size[a:z])
-        held.append((np.repeat(np.cumsum(who), n), np.repeat(np.cumsum(doc), n), np.cumsum(start), size, anchor, whole, data))
-    uid, doc, start, size, anchor, whole = (np.concatenate(x) for x in list(zip(*held))[:6])
-    data = np.concatenate([x[6] for x in held])
-    del held
-    begin = np.cumsum(size) - size
-    o, again = _equal(anchor, whole, doc, uid, start)
-    if again.any():
-        r = o[again]
-        yield _spans(uid[r], start[r], start[r] + size[r])
-    o = o[~again]
-    x = anchor[o]
-    new = np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, bool)
-    edge = np.append(np.flatnonzero(new), len(o))
-    several = np.repeat(np.diff(edge) > 1, np.diff(edge))
-    o = o[several]
-    if not len(o):
-        return
-    x, total = anchor[o], np.cumsum(size[o])
-    edge = np.flatnonzero(np.append(True, x[1:] != x[:-1]))  # where anchors begin
-    part = (total[edge] - size[o][edge]) // ARRAY
-    cuts = np.append(edge[np.flatnonzero(np.diff(part, prepend=-1))], len(o))
-    for a, z in zip(cuts[:-1], cuts[1:]):
-        r = o[a:z]
-        rank = np.empty(len(r), np.int64)
-        rank[np.lexsort((start[r], uid[r], doc[r]))] = np.arange(len(r))
-        k, off = _windows_before(_gathered(data, begin[r], size[r]), size[r], rank, length)
-        if len(k):
-            yield _spans(uid[r][k], start[r][k] + off, start[r][k] + off + length)
+        self.parts.append((np.repeat(np.cumsum(who), n), np.repeat(np.cumsum(doc), n), np.cumsum(start), size, anchor, whole, data))
+        self.bytes += len(data)
+
+    def gather(self):
+        uid, doc, start, size, anchor, whole, data = (np.concatenate(x) for x in zip(*self.parts))
+        return uid, doc, start, size, anchor, whole, data, np.cumsum(size) - size
+
+    def split(self):
+        """Takes hot anchors out: rows of their windows."""
+        if not self.parts or not self.hot and self.bytes <= ARRAY:
+            return
+        uid, doc, start, size, anchor, whole, data, begin = self.gather()
+        names, of = np.unique(anchor, return_inverse=True)
+        # copies of one content, compared first, do not make an anchor hot
+        o, again = _equal(anchor, whole, doc, uid, start)
+        weight = np.bincount(of[o[~again]], size[o[~again]], len(names))
+        hot = weight > ARRAY
+        if self.hot:
+            hot |= np.isin(names, np.frombuffer(b"".join(self.hot), np.uint64))
+        self.hot |= {x.tobytes() for x in names[hot]}
+        r = np.flatnonzero(hot[of])
+        if len(r):
+            yield from _window_rows(data, begin[r], size[r], uid[r], doc[r], start[r], self.shards, self.length)
+        if len(r) or self.bytes > HELD:
+            k = np.flatnonzero(~hot[of])
+            kept = (uid[k], doc[k], start[k], size[k], anchor[k], whole[k], _gathered(data, begin[k], size[k]))
+            self.parts, self.bytes = [kept] if len(k) else [], len(kept[-1])
+
+    def spans(self):
+        if not self.parts:
+            return
+        uid, doc, start, size, anchor, whole, data, begin = self.gather()
+        self.parts = []
+        o, again = _equal(anchor, whole, doc, uid, start)
+        again = _same_bytes(data, begin, size, o, again)
+        if again.any():
+            r = o[again]
+            yield _spans(uid[r], start[r], start[r] + size[r])
+        o = o[~again]
+        x = anchor[o]
+        new = np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, bool)
+        edge = np.append(np.flatnonzero(new), len(o))
+        several = np.repeat(np.diff(edge) > 1, np.diff(edge))
+        o = o[several]
+        if not len(o):
+            return
+        x, total = anchor[o], np.cumsum(size[o])
+        edge = np.flatnonzero(np.append(True, x[1:] != x[:-1]))  # where anchors begin
+        part = (total[edge] - size[o][edge]) // ARRAY
+        cuts = np.append(edge[np.flatnonzero(np.diff(part, prepend=-1))], len(o))
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            r = o[a:z]
+            rank = np.empty(len(r), np.int64)
+            rank[np.lexsort((start[r], uid[r], doc[r]))] = np.arange(len(r))
+            k, off = _windows_before(_gathered(data, begin[r], size[r]), size[r], rank, self.length)
+            if len(k):
+                yield _spans(uid[r][k], start[r][k] + off, start[r][k] + off + self.length)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -315,7 +459,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     least = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
     text = docs.select(F.col("uid"), least.alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sent = text.mapInArrow(lambda bs: _send(bs, shards, length), "shard int, kind int, payload binary")
-    return sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _receive(bs, length), "uid long, spans binary")
+    first = table(sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _receive(bs, shards, length), "kind int, shard int, uid long, spans binary"))
+    spans = first.where("kind = 0").select("uid", "spans")
+    windows = first.where("kind = 2").select("shard", "spans")
+    if windows.isEmpty():
+        return spans
+    met = table(windows.repartitionById(shards, "shard").mapInArrow(lambda bs: _meet(bs, length), "uid long, spans binary"))
+    return spans.unionAll(met)
 
 
 def merged(spans: list, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -339,8 +489,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kept_text: bool = True
     its rows have the same number in both passes.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("uid"))
-    spans = table(repeated_spans(rows, length))
-    release(docs.sparkSession)  # the stretches are no longer needed
+    spans = repeated_spans(rows, length)
     found = spans.groupBy("uid").agg(F.collect_list("spans").alias("spans"))
 
     @tidy

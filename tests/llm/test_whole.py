@@ -1,9 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from framewright.llm import html, jaccard
+from framewright.llm import html, jaccard, suffixes, util
 
 
 def test_stage_removes_single_item_documents(spark, tmp_path):
@@ -41,3 +44,47 @@ LINE = "Some long text that goes on and on, {} times over and then some more."
 def test_all_content_of_a_page(page, want):
     lines = [LINE.format(x) * 3 for x in ("one", "two", "three", "four")]
     assert html.main_text(page.format(*lines)) == want.format(*lines)
+
+
+def brute_repeats(texts, length):
+    """Bytes of each text within a window that also starts earlier."""
+    seen, out = set(), []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            w = t[i : i + length]
+            if w in seen:
+                gone[i : i + length] = b"\x01" * length
+            seen.add(w)
+        out.append(bytes(b for b, g in zip(t, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("hot, array", [(2, 1 << 20), (1 << 30, 400), (3, 400)])
+def test_repeats_around_common_strings(spark, monkeypatch, hot, array):
+    """Anchors with many different neighbours, split where they are read or where they meet."""
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "ARRAY", array)
+    monkeypatch.setattr(suffixes, "HELD", 4 * array)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
+    common, shared = [word(30) for _ in range(3)], [word(160) for _ in range(4)]
+    texts = []
+    for k in range(120):
+        parts = [word(rng.randrange(120)), rng.choice(common), word(rng.randrange(120))]
+        if k % 3 == 0:
+            parts.append(rng.choice(shared)[rng.randrange(30) :])
+        if k % 7 == 0:
+            parts.append(common[0] + shared[0][:90] + common[1])
+        texts.append("".join(parts) if k % 11 or not texts else texts[rng.randrange(len(texts))])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: bytes(r.kept) for r in suffixes.remove_repeats(util.table(df), 100).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_repeats([t.encode() for t in texts], 100)
+
+
+def test_one_common_string_everywhere(spark):
+    """A 24-byte string with other neighbours in each of 100,000 documents: no task holds them all, nothing is removed."""
+    common = "this line is everywhere!"
+    df = spark.range(100_000, numPartitions=8).select(F.col("id").alias("doc_id"), F.concat(F.sha2(F.concat(F.lit("a"), F.col("id").cast("string")).cast("binary"), 256), F.lit(common), F.sha2(F.concat(F.lit("b"), F.col("id").cast("string")).cast("binary"), 256)).alias("text"))
+    got = suffixes.remove_repeats(util.table(df), 100, kept_text=False).agg(F.sum("n_bytes").alias("n"), F.sum("n_removed").alias("gone")).first()
+    assert (got.n, got.gone) == (100_000 * 152, 0)
