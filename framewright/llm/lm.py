@@ -1,21 +1,25 @@
 """Hierarchical Pitman-Yor language model of words given the word before.
 
-One restaurant for each context, the word before hashed to CONTEXTS numbers; all share one parent, the
-restaurant of single words, whose parent is uniform over the V known words and one unknown. The state is
-how many tables each word has in each restaurant.
-
-A task sorts the tokens of a chunk of texts by shard, word and context. Their distinct types go, packed, to
-shards by word, so that a word's tables in all contexts, its customers in the parent and its count are in
-one task; frequent words are spread over several shards by context, their sums carried along with the sums
-of tables by context, which are all that sweeps exchange. Shards answer each chunk with a probability for
-each type it sent, so what moves grows with the tokens, whatever the number of shards. In a Gibbs sweep a shard draws the tables of every word and context
-anew, given all other sums as the last sweep left them: the seating of up to EXACT customers from its exact
-conditional (generalised Stirling numbers), the rest by seating them one batch after another. Probabilities
-are averaged over SAMPLES draws after BURN_IN sweeps.
+One restaurant for each word that stands before another, found by its 64-bit hash; all share one parent, the
+restaurant of single words, whose parent is uniform over the V known words and one unknown. The state is how
+many tables each word has in each restaurant.
+
+A task sorts the tokens of a chunk of texts by word and context. Their distinct types go, packed, to shards by
+word, so that a word's tables in all contexts, its customers in the parent and its count are in one task;
+frequent words are spread over several shards by context. Shards are the buckets of a table, which later passes
+read where they lie. What a pass needs of other shards are the sums of its contexts, customers and tables: every
+shard sends its own to the task of each group of contexts and gets the totals back, so what moves grows with the
+types, and no task or driver holds all contexts. Only sums of hot words and a few numbers reach the driver. In a
+Gibbs sweep a shard draws the tables of every word and context anew, given all other sums as the last sweep left
+them: the seating of up to EXACT customers from its exact conditional (generalised Stirling numbers), the rest by
+seating them one batch after another. Probabilities are averaged over SAMPLES draws after BURN_IN sweeps; these
+draws share the sums of the last sweep.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -23,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import drop_table, mix, parts, slices, space_table, table, text_bytes, tidy, words
+from .util import bucketed, drop_table, mix, parts, slices, space_table, table, text_bytes, tidy, words
 
-CONTEXT_BITS = 16
-CONTEXTS = 1 << CONTEXT_BITS
+#: Contexts whose sums one message carries at most.
+CONTEXTS = 1 << 16
 D_WORD, T_WORD, D_CONTEXT, T_CONTEXT = 0.5, 100.0, 0.8, 2.0
 BURN_IN, SAMPLES, EXACT = 2, 3, 48
 #: Bytes of text that a task packs at once, and that a shard of words stands for.
-GATHER, SHARD = 8 << 20, 8 << 20
+GATHER, SHARD = 12 << 20, 12 << 20
 _TABLE = space_table()
 _END, _BEGIN = np.uint64(0x51ED270B35C4A3F1), np.uint64(0xA0761D6478BD642F)
 
@@ -45,7 +49,7 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     before = np.empty_like(tok)
     before[1:] = tok[:-1]
     before[first[:-1] + np.arange(n)] = _BEGIN
-    return tok, (mix(before) >> np.uint64(64 - CONTEXT_BITS)).astype(np.uint16), np.repeat(np.arange(n), many + 1)
+    return tok, before, np.repeat(np.arange(n), many + 1)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -74,7 +78,7 @@ def _shard_of(word: np.ndarray, context: np.ndarray, shards: int, hot: np.ndarra
     if len(hot):
         at = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
         mine = np.flatnonzero(hot[at] == word)
-        s[mine] = (s[mine] + mix(context[mine].astype(np.uint64)) % spread[at[mine]]) % np.uint64(shards)
+        s[mine] = (s[mine] + mix(context[mine]) % spread[at[mine]]) % np.uint64(shards)
     return s.astype(np.int64)
 
 
@@ -97,32 +101,30 @@ def _send(batches, shards: int, hot: np.ndarray, spread: np.ndarray):
         nonlocal no, held, size, docs
         chunk = (task << 24) + no
         no += 1
-        tok, ctx, doc = (np.concatenate([x[k] for x in held]) for k in range(3))
+        tok, before, doc = (np.concatenate([x[k] for x in held]) for k in range(3))
         doc_id, null, train = (np.concatenate([x[k] for x in held]) for k in (3, 4, 5))
         n_tokens = np.bincount(doc, minlength=docs)
-        counts = np.bincount(ctx[train[doc]], minlength=CONTEXTS)
-        word, inverse = np.unique(tok, return_inverse=True)
-        key = np.sort((inverse.astype(np.uint64) << np.uint64(32)) | (ctx.astype(np.uint64) << np.uint64(16)) | doc.astype(np.uint64))
-        rank, ctx, doc = (key >> np.uint64(32)).astype(np.int64), (key >> np.uint64(16)).astype(np.uint16), key.astype(np.uint16)
-        shard = _shard_of(word[rank], ctx, shards, hot, spread)
-        order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
-        rank, ctx, doc, shard = rank[order], ctx[order], doc[order], shard[order]
-        new = np.ones(len(rank), bool)  # where types begin
-        new[1:] = (rank[1:] != rank[:-1]) | (ctx[1:] != ctx[:-1]) | (shard[1:] != shard[:-1])
+        name = np.unique(np.append(tok, _BEGIN))
+        word, ctx = np.searchsorted(name, tok), np.searchsorted(name, before)
+        del tok, before
+        order = np.argsort(word * len(name) + ctx, kind="stable")  # tokens of a type stay in the order of texts
+        word, ctx, doc = word[order].astype(np.int32), ctx[order].astype(np.int32), doc[order].astype(np.uint16)
+        new = np.append(True, (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1]))
         type_ = np.flatnonzero(new)
-        many = np.diff(np.append(type_, len(rank)))
-        learned = np.add.reduceat(train[doc].astype(np.uint32), type_)
-        edge = np.searchsorted(shard[type_], np.arange(shards + 1))
-        rows = [(chunk % shards, 1, chunk, _pack(doc_id, null, train, n_tokens, counts.astype(np.int32)), _pack(many.astype(np.uint16 if many.max() < 1 << 16 else np.uint32), doc))]
-        for s in range(shards):
-            mine = type_[edge[s] : edge[s + 1]]
-            if len(mine):
-                r = rank[mine]
-                first = np.flatnonzero(np.diff(r, prepend=-1))
-                rows.append((s, 0, chunk, _pack(word[r[first]], np.diff(np.append(first, len(r))).astype(np.uint32), ctx[mine], learned[edge[s] : edge[s + 1]]), None))
+        shard = _shard_of(name[word[type_]], name[ctx[type_]], shards, hot, spread)
+        by_shard = np.argsort(shard, kind="stable")
+        many, begin = np.diff(np.append(type_, len(word)))[by_shard], type_[by_shard]
+        learned = np.add.reduceat(train[doc].astype(np.uint32), type_)[by_shard]
+        word, ctx, shard = word[begin], ctx[begin], shard[by_shard]
+        at = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        yield _row(chunk % shards, 1, chunk, _pack(doc_id, null, train, n_tokens), _pack(many.astype(np.uint16 if many.max() < 1 << 16 else np.uint32), doc[at]))
+        edge = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
         held, size, docs = [], 0, 0
-        for k in range(0, len(rows), 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 16]), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["shard", "kind", "chunk", "payload", "tokens"])
+        for a, z in zip(edge[:-1], edge[1:]):
+            w, c = word[a:z], ctx[a:z]
+            first = np.flatnonzero(np.diff(w, prepend=-1))
+            of, place = np.unique(c, return_inverse=True)
+            yield _row(int(shard[a]), 0, chunk, _pack(name[w[first]], np.diff(np.append(first, z - a)).astype(np.uint32), name[of], place.astype(np.uint16 if len(of) < 1 << 16 else np.uint32), learned[a:z]), None)
 
     for b in batches:
         for i, j, data, bounds in slices(b, "text"):
@@ -138,29 +140,42 @@ def _send(batches, shards: int, hot: np.ndarray, spread: np.ndarray):
         yield from flush()
 
 
+def _row(*row) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], ["shard", "kind", "chunk", "payload", "tokens"])
+
+
 @tidy
-def _merge(batches):
-    """One row for each shard: `types` (words, then contexts and training counts by word) and `tokens` (which of them
-    each chunk has); rows of facts pass through."""
-    names, kinds = ["shard", "kind", "chunk", "types", "tokens"], (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+def _merge(batches, groups: int):
+    """One row for each shard: `types` (words, then contexts by number and training counts by word), `contexts` by group and
+    hash, and `tokens` (which types each chunk has); rows of facts pass through."""
+    names, kinds = ["shard", "kind", "chunk", "types", "contexts", "tokens"], (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     one = lambda *row: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names)
     shards: dict[int, list] = {}
     for b in batches:
         for shard, kind, chunk, payload, toks in zip(*(c.to_pylist() for c in b.columns)):
             if kind:
-                yield one(shard, 1, chunk, payload, toks)
+                yield one(shard, 1, chunk, payload, None, toks)
             else:
                 shards.setdefault(shard, []).append((chunk, payload))
     for shard in list(shards):
         got = [(c, *_unpack(p)) for c, p in sorted(shards.pop(shard))]
-        word = np.unique(np.concatenate([x[1] for x in got]))
-        key = np.concatenate([(np.repeat(np.searchsorted(word, w), n).astype(np.uint64) << np.uint64(16)) | ctx for _, w, n, ctx, _ in got])
+        word, ctx = np.unique(np.concatenate([x[1] for x in got])), np.unique(np.concatenate([x[3] for x in got]))
+        key = np.concatenate([np.repeat(np.searchsorted(word, w), n) * len(ctx) + np.searchsorted(ctx, c)[place] for _, w, n, c, place, _ in got])
         type_, inverse = np.unique(key, return_inverse=True)
-        count = np.bincount(inverse, np.concatenate([x[4] for x in got]), len(type_)).astype(np.uint32)
-        of = (type_ >> np.uint64(16)).astype(np.int64)
-        types = _pack(word, np.bincount(of, minlength=len(word)).astype(np.uint32), type_.astype(np.uint16), count)
-        toks = _pack(np.array([x[0] for x in got], np.int64), np.array([len(x[3]) for x in got], np.int64), inverse.astype(np.uint32))
-        yield one(shard, 0, -1, types, toks)
+        count = np.bincount(inverse, np.concatenate([x[5] for x in got]), len(type_)).astype(np.uint32)
+        of, context = type_ // len(ctx), type_ % len(ctx)
+        order = np.lexsort((ctx, group_of(ctx, groups)))
+        number = np.empty(len(ctx), np.uint32)
+        number[order] = np.arange(len(ctx))
+        types = _pack(word, np.bincount(of, minlength=len(word)).astype(np.uint32), number[context], count)
+        toks = _pack(np.array([x[0] for x in got], np.int64), np.array([len(x[4]) for x in got], np.int64), inverse.astype(np.uint32))
+        yield one(shard, 0, -1, types, _pack(ctx[order]), toks)
+
+
+def group_of(context: np.ndarray, groups: int) -> np.ndarray:
+    """Group of contexts whose sums meet in one task."""
+    return ((context >> np.uint64(13)) % np.uint64(groups)).astype(np.int64)
 
 
 def stirling(d: float, n: int = EXACT) -> np.ndarray:
@@ -201,13 +216,18 @@ def seat(count: np.ndarray, rho: np.ndarray, d: float, rng: np.random.Generator)
 
 
 class Sums:
-    """What sweeps exchange: tables by context, all customers and tables of single words, and hot words' sums."""
+    """What a shard knows of others: customers and tables of its contexts, all customers and tables of single words, and
+    hot words' sums."""
 
     def __init__(self, customers: np.ndarray, hot: np.ndarray, vocabulary: float, train_tokens: float):
-        self.customers, self.hot, self.v, self.n = customers.astype(float), hot, vocabulary, train_tokens
-        self.tables = customers * 0.3
-        self.c1, self.t1 = max(self.tables.sum(), 1.0), max(vocabulary, 1.0)
+        self.hot, self.v, self.n = hot, vocabulary, train_tokens
         self.hot_customers = self.hot_count = np.zeros(len(hot))
+        self.c1, self.t1 = max(train_tokens * 0.3, 1.0), max(vocabulary, 1.0)
+        self.local(customers, customers * 0.3)
+
+    def local(self, customers: np.ndarray, tables: np.ndarray) -> Sums:
+        self.customers, self.tables = customers.astype(float), tables.astype(float)
+        return self
 
 
 class Shard:
@@ -256,28 +276,44 @@ class Shard:
         plain = ~hot
         h = [np.bincount(self.hot_at[hot], x[hot], len(s.hot)) for x in (self.customers, self.word_count)] if len(s.hot) else []
         tables1 = self.tables1[plain].sum()
-        return np.concatenate([np.bincount(self.context, self.tables, CONTEXTS), [self.customers.sum(), tables1, (self.word_count[plain] > 0).sum()], *h])
+        return np.concatenate([np.bincount(self.context, self.tables, len(s.customers)), [self.customers.sum(), tables1, (self.word_count[plain] > 0).sum()], *h])
 
 
-def _total(df: DataFrame, make, groups: int = 16) -> np.ndarray | None:
-    """Sum of make(number, payload) over rows, first within tasks, then in `groups` tasks: the driver gets a vector of each."""
+_PASS = "kind int, key long, shard int, payload binary, value double"
 
-    def summed(vectors):
-        total, group = None, 0
-        for g, x in vectors:
-            total, group = x.astype(np.float64) if total is None else total + x, g
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([group % groups], pa.int32()), pa.array([zstandard.compress(total.tobytes())], pa.binary())], ["g", "v"])
 
-    @tidy
-    def first(batches):
-        return (yield from summed((n, make(n, x.as_py())) for b in batches for n, x in zip(b.column(0).to_pylist(), b.column(1))))
+def _messages(shard: int, contexts: np.ndarray, groups: int, tables: np.ndarray, customers: np.ndarray):
+    """Rows (0, group, shard, payload, 0) of a shard's sums by context; contexts stand by group."""
+    group = group_of(contexts, groups)
+    edge = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
+    rows = [(0, int(group[a]), shard, _pack(contexts[k : min(k + CONTEXTS, z)], tables[k : min(k + CONTEXTS, z)].astype(np.uint32), customers[k : min(k + CONTEXTS, z)].astype(np.uint32)), 0.0) for a, z in zip(edge[:-1], edge[1:]) for k in range(a, z, CONTEXTS)]
+    for k in range(0, len(rows), 64):
+        yield _batch(rows[k : k + 64])
 
-    def second(batches):
-        return summed((g, np.frombuffer(zstandard.decompress(x.as_py()))) for b in batches for g, x in zip(b.column(0).to_pylist(), b.column(1)))
 
-    got = df.mapInArrow(first, "g int, v binary").repartition(groups, "g").mapInArrow(second, "g int, v binary").collect()
-    return sum(np.frombuffer(zstandard.decompress(bytes(r[1]))) for r in got) if got else None
+def _batch(rows: list) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["kind", "key", "shard", "payload", "value"])
+
+
+@tidy
+def _totals(batches):
+    """Answers (shard, first context, payload) to messages: tables and customers of the same contexts over all shards."""
+    groups: dict[int, list] = {}
+    for b in batches:
+        for group, shard, payload in zip(*(b.column(k).to_pylist() for k in range(3))):
+            groups.setdefault(group, []).append((shard, payload))
+    for group in list(groups):
+        got = [(shard, *_unpack(p)) for shard, p in groups.pop(group)]
+        ctx, inverse = np.unique(np.concatenate([x[1] for x in got]), return_inverse=True)
+        sums = [np.bincount(inverse, np.concatenate([x[k] for x in got]), len(ctx)) for k in (2, 3)]
+        at, rows = 0, []
+        for shard, mine, *_ in got:
+            k = inverse[at : at + len(mine)]
+            at += len(mine)
+            rows.append((shard, group, int(mine[0] >> np.uint64(1)), _pack(*(x[k].astype(np.float64) for x in sums))))
+        for k in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64]), (pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["shard", "key", "first", "payload"])
 
 
 def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
@@ -298,50 +334,75 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
     hot = np.array([w for w, _ in many], np.uint64)
     spread = np.array([-(-n * 4 * shards // total) for _, n in many], np.uint64)
 
+    groups = parts(spark, 4 * math.isqrt(shards), 1)
     sent = text.mapInArrow(lambda bs: _send(bs, shards, hot, spread), "shard int, kind int, chunk long, payload binary, tokens binary")
-    kept = table(sent.repartitionById(shards, "shard").mapInArrow(_merge, "shard int, kind int, chunk long, types binary, tokens binary"), compression="none")
-    facts, types = kept.where("kind = 1"), kept.where("kind = 0").select("shard", "types")
-
-    def customers(_, payload):
-        return _unpack(payload)[4]
+    merged = sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _merge(bs, groups), "shard int, kind int, chunk long, types binary, contexts binary, tokens binary")
+    kept = bucketed(merged, "shard", shards)
+    drop_table(often)
 
-    by_context = _total(facts.select("chunk", "types"), customers)
-    by_context = np.zeros(CONTEXTS) if by_context is None else by_context
-    sums = Sums(by_context, hot, 0.0, by_context.sum())
+    def passed(f, answers: DataFrame | None, sql: str, *more: str) -> DataFrame:
+        """f over shards (shard, types, contexts, *more, totals), which stay where they are; answers are gathered by shard."""
+        rows = kept.where("kind = 0").select("shard", "types", "contexts", *more)
+        if answers is None:
+            return rows.withColumn("totals", F.lit(None).cast("array<struct<key:bigint,first:bigint,payload:binary>>")).mapInArrow(f, sql)
+        mine = answers.groupBy(F.col("shard").alias("of")).agg(F.array_sort(F.collect_list(F.struct("key", "first", "payload"))).alias("totals"))
+        return rows.join(mine, F.col("shard") == F.col("of")).drop("of").mapInArrow(f, sql)
+
+    def ready(types, contexts: int, totals, sums: Sums) -> Shard:
+        if totals is None:
+            return Shard(types, sums.local(np.zeros(contexts), np.zeros(contexts)))
+        both = [_unpack(x["payload"]) for x in totals]
+        customers = np.concatenate([x[1] for x in both])
+        tables = np.concatenate([x[0] for x in both])
+        return Shard(types, sums.local(customers, tables if tables.any() else customers * 0.3))
+
+    answers, sums = None, Sums(np.zeros(0), hot, 0.0, 0.0)
     for sweep in range(BURN_IN + 1):
-        # the first round only counts the known words and the hot ones
-        def swept(shard, payload, sums=sums, sweep=sweep):
-            s = Shard(payload, sums)
-            if sweep:
-                s.draw(np.random.default_rng((seed, sweep, shard)))
-            else:
-                s.tables, s.customers = np.minimum(s.count, 1), s.customers
-            return s.totals()
-
-        got = _total(types, swept)
-        if got is None:
-            break
-        last, sums = sums, Sums(by_context, hot, 0.0, by_context.sum())
-        sums.tables, (sums.c1, sums.t1, plain) = got[:CONTEXTS], got[CONTEXTS : CONTEXTS + 3]
-        sums.hot_customers, sums.hot_count = got[CONTEXTS + 3 : CONTEXTS + 3 + len(hot)], got[CONTEXTS + 3 + len(hot) :]
-        sums.v = plain + (sums.hot_count > 0).sum()
-        if len(hot):  # tables of hot words in the parent, given all their customers
-            rho = (T_WORD + D_WORD * last.t1) / (sums.v + 1)
-            sums.t1 += seat(sums.hot_customers.astype(np.int64), np.full(len(hot), rho), D_WORD, np.random.default_rng((seed, sweep))).sum()
+        # the first pass only counts: customers of contexts, known words, and hot ones
+        @tidy
+        def swept(batches, sums=sums, sweep=sweep):
+            for b in batches:
+                for shard, types, contexts, totals in zip(*(c.to_pylist() for c in b.columns)):
+                    (ctx,) = _unpack(contexts)
+                    s = ready(types, len(ctx), totals, sums)
+                    if sweep:
+                        s.draw(np.random.default_rng((seed, sweep, shard)))
+                    got = s.totals()
+                    yield from _messages(shard, ctx, groups, got[: len(ctx)] if sweep else np.zeros(len(ctx)), np.bincount(s.context, s.count, len(ctx)))
+                    rest = got[len(ctx) :]
+                    some = [(k, v) for k, v in enumerate([*rest[:3], s.count.sum(), *rest[3:]]) if v]
+                    if some:
+                        yield _batch([(1, k, shard, None, float(v)) for k, v in some])
+
+        out = table(passed(swept, answers, _PASS))
+        number = dict(out.where("kind = 1").groupBy("key").agg(F.sum("value")).collect())  # 4 numbers, and 2 for each hot word
+        last, n, h = sums, number.get(3, 0.0), len(hot)
+        sums = Sums(np.zeros(0), hot, number.get(2, 0.0), n)
+        sums.hot_customers, sums.hot_count = (np.array([number.get(4 + at + k, 0.0) for k in range(h)]) for at in (0, h))
+        sums.v += (sums.hot_count > 0).sum()
+        if sweep:
+            sums.c1, sums.t1 = number.get(0, 0.0), number.get(1, 0.0)
+            if h:  # tables of hot words in the parent, given all their customers
+                rho = (T_WORD + D_WORD * last.t1) / (sums.v + 1)
+                sums.t1 += seat(sums.hot_customers.astype(np.int64), np.full(h, rho), D_WORD, np.random.default_rng((seed, sweep))).sum()
+        else:
+            sums.t1 = max(sums.v, 1.0)
+        before, answers = answers, table(out.where("kind = 0").select("key", "shard", "payload").repartition(groups, "key").mapInArrow(_totals, "shard int, key long, first long, payload binary"))
+        drop_table(out, *([before] if before is not None else []))
     base = np.log10(sums.n + 0.1 * (sums.v + 1)) if sums.n + sums.v else np.log10(0.1)
     drawn = sums
 
     @tidy
     def scored(batches):
         for b in batches:
-            for shard, packed, toks in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                s = Shard(packed.as_py(), drawn)
+            for shard, types, toks, totals in zip(*(b.column(k).to_pylist() for k in (0, 1, 3, 4))):
+                s = ready(types, 0, totals, drawn)
                 rng, p = np.random.default_rng((seed, 99, shard)), np.zeros(len(s.count))
                 for _ in range(SAMPLES):
                     s.draw(rng)
                     p += s.probability()
                 log_p, count = np.log10(p / SAMPLES).astype(np.float32), s.known.astype(np.int64)
-                chunk, size, type_ = _unpack(toks.as_py())
+                chunk, size, type_ = _unpack(toks)
                 at = 0
                 for c, n in zip(chunk.tolist(), size.tolist()):
                     k = type_[at : at + n]
@@ -358,10 +419,10 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
                 chunks.setdefault(c, []).append((shard, payload, toks))
         n = int(drawn.n)
         for c in list(chunks):
-            (_, facts_, toks), *answers = sorted(chunks.pop(c), key=lambda x: x[0])
-            doc_id, null, train_, n_tokens, _ = _unpack(facts_)
+            (_, facts_, toks), *answers_ = sorted(chunks.pop(c), key=lambda x: x[0])
+            doc_id, null, train_, n_tokens = _unpack(facts_)
             many, doc = _unpack(toks)
-            got = [_unpack(p) for _, p, _ in answers]
+            got = [_unpack(p) for _, p, _ in answers_]
             log_p = np.repeat(np.concatenate([x[0] for x in got]).astype(np.float64), many)
             count = np.repeat(np.concatenate([np.repeat(x[2], x[1]) for x in got]), many)
             add = lambda x: np.bincount(doc, x, len(doc_id))
@@ -370,7 +431,6 @@ def score(docs: DataFrame, train: Column, seed: int = 3) -> DataFrame:
                 ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    each = kept.where("kind = 0").select("shard", "types", "tokens").mapInArrow(scored, "chunk long, shard int, payload binary, tokens binary")
-    both = each.unionAll(facts.select("chunk", F.lit(-1).alias("shard"), F.col("types").alias("payload"), "tokens"))
-    drop_table(often)
-    return both.repartition(shards, "chunk").mapInArrow(joined, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    each = passed(scored, answers, "chunk long, shard int, payload binary, tokens binary", "tokens")
+    facts = kept.where("kind = 1").select("chunk", F.lit(-1).alias("shard"), F.col("types").alias("payload"), "tokens")
+    return each.unionAll(facts).repartition(shards, "chunk").mapInArrow(joined, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

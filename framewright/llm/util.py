@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 _made: list[tuple[SparkSession, str]] = []
 #: Spark's own setting: a query's shuffle files go when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,6 +55,26 @@ def table(df: DataFrame, *, compression: str = "zstd") -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """table() in as many buckets by an integer column: joins on it, and passes over it, do not move its rows."""
+    spark = df.sparkSession
+    name = f"framewright_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    _made.append((spark, path))
+    most = spark.conf.get(_BUCKETS, "100000")
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    spark.conf.set(_BUCKETS, str(max(int(most), buckets)))
+    try:
+        df.select("*").write.format("parquet").option("path", path).option("compression", "none").bucketBy(buckets, column).saveAsTable(name)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+        spark.conf.set(_BUCKETS, most)
+    out = spark.table(name)
+    out._framewright_path = path
+    return out
+
+
 def drop_table(*tables: DataFrame) -> None:
     """Deletes the files of table()s that nothing lazy still reads."""
     for df in tables:
@@ -77,7 +98,10 @@ def scratch(*keep: DataFrame):
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    """On whatever file system the path is."""
+    """On whatever file system the path is; a bucketed() table leaves the catalog too."""
+    name = path.rsplit("/", 1)[-1]
+    if name.startswith("framewright_"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
