@@ -1,11 +1,12 @@
 """Main text of web pages from parser events, text-to-tag ratios and their smoothed clusters.
 
 The standard library's streaming parser gives events; block-level tags cut them into lines. A line's ratio
-is its text over its tags; ratios are smoothed by a Gaussian along the page, and lines over the threshold,
-the standard deviation of the smoothed ratios, are content, and none of them is left out. The outermost
-article around each content line, or the main element where there is no article, is a region; all regions of
-the page count. Without such elements the region is the deepest element around all content lines. The other
-lines of a region that stand in no boilerplate element are text as well.
+is its text outside links over its tags, and 0 in elements that say they are no article: menus, footers and the
+like, by tag, role or a whole class or id. Ratios are smoothed by a Gaussian along the page, and lines over the
+threshold, the standard deviation of the smoothed ratios, are the content; none of them is left out. Clusters of
+content say which elements hold the article: the outermost `article` around a content line, or `main` where there
+is no article, with all its lines but those of ratio 0 by name. Elsewhere a region runs from the first to the last
+content line, and on over lines beside these in the same element.
 """
 
 from __future__ import annotations
@@ -30,16 +31,24 @@ CLOSED_BY = {"p": BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"})
 # Words of class and id that mark menus, page heads and feet, notices, adverts and comments.
 WORDS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promoted banner "
-    "cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription paywall popup modal overlay "
-    "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs pagination pager toolbar topbar masthead sidebar sidebars aside rail widget widgets "
-    "footer foot comment comments commentlist disqus replies reply respond discussion related recommended recommendations share sharing social "
-    "login signup signin register searchbox searchform skiplink copyright legal disclaimer hidden".split()
+    "cookie cookies consent gdpr notice notices notification newsletter subscribe subscription paywall popup modal overlay "
+    "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs pagination pager toolbar topbar masthead sidebar sidebars aside widget widgets header "
+    "footer comment comments commentlist disqus replies reply respond related recommended recommendations share sharing social "
+    "login signup signin register searchbox searchform skiplink copyright disclaimer hidden".split()
 )
+# Words that say nothing beside one of the above ("footer-left"); beside any other word none of the above counts.
+PLAIN = frozenset("a area bar block box bottom button buttons center col column container form group holder icon icons inner item items left link links list main outer page panel right row section site slot small top unit wrap wrapper zone".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _HIDE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _says(name: str) -> bool:
+    """Whether a class or an id as a whole names boilerplate: "cookie-banner" does, "share-price" does not."""
+    said = {x.lower() for x in _SPLIT.split(name) if x and not x.isdigit()}
+    return not said.isdisjoint(WORDS) and said <= WORDS | PLAIN
+
+
 def _marked(tag: str, attrs: list) -> bool:
     """Whether an element's tag or attributes make it boilerplate."""
     if tag in BOILERPLATE:
@@ -50,84 +59,83 @@ def _marked(tag: str, attrs: list) -> bool:
             return True
         if k == "role" and v.lower() in ROLES:
             return True
-        if k in ("class", "id") and tag not in ("html", "body", "main", "article"):
-            for name in v.split():
-                said = [x for x in _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if x]
-                if said and said[0] not in ("has", "with", "no", "without") and (WORDS & set(said) or said[0] in ("header",)):
-                    return True
+        if k in ("class", "id") and tag not in ("html", "body", "main", "article") and any(_says(x) for x in v.split()):
+            return True
     return False
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text, tags, characters in links, element number, skipped]."""
+    """Lines of a page: (text, tags, characters in links, element number, marked). Time is linear in the page.
+
+    Elements are numbered as they open; parent, kind and region (the outermost article around, else the outermost
+    main, else 0) are lists by number.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[list] = []
+        self.lines: list[tuple] = []
         self.parts: list[str] = []
-        self.tags = self.linked = 0
-        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, number, skipped, silent
-        self.parent, self.kind = [0], [""]
-        self.links = 0
-        self.article = 0
+        self.tags = self.linked = self.links = 0
+        # tag, number, marked, silent, marked only as the head of an article, place of the innermost block
+        self.open: list[tuple] = [("", 0, False, False, False, 0)]
+        self.places: dict[str, list[int]] = {}
+        self.parent, self.kind, self.article, self.main = [0], [""], [0], [0]
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
-            _, number, skip, _ = self.open[-1]
-            self.lines.append([text, self.tags, self.linked, number, skip])
+            _, number, marked, *_ = self.open[-1]
+            self.lines.append((text, self.tags, self.linked, number, marked))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             while self.open[-1][0] in CLOSED_BY and tag in CLOSED_BY[self.open[-1][0]]:
                 self.pop()
-            if any(x[0] == "p" for x in self.open[-4:]) and tag in BLOCKS:  # inline elements left open in a paragraph
-                for k in range(len(self.open) - 1, max(len(self.open) - 4, 0) - 1, -1):
-                    if self.open[k][0] in BLOCKS:
-                        if self.open[k][0] == "p":
-                            while len(self.open) > k:
-                                self.pop()
-                        break
+            block = self.open[-1][5]
+            if self.open[block][0] == "p" and len(self.open) - block < 4:  # inline elements left open in a paragraph
+                self.pop_to(block)
             self.flush()
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.parts.append(" ")
             return
-        _, _, skip, silent = self.open[-1]
-        if not skip:
+        _, above, marked, silent, head, block = self.open[-1]
+        if not marked:
+            inside = self.article[above] or self.main[above]
             if tag == "header":
-                skip = True
-            elif tag in HEADINGS or tag not in BLOCKS and not attrs:
-                skip = False
-            else:
-                skip = _marked(tag, attrs)
-        elif tag in HEADINGS and self.article and any(x[0] == "header" and not y[2] for x, y in zip(self.open[1:], self.open)):
-            skip = False  # an article's own title
-        self.parent.append(self.open[-1][1])
+                marked, head = True, bool(inside)
+            elif tag not in HEADINGS and (tag in BLOCKS or attrs):
+                marked = _marked(tag, attrs)
+        elif head and tag in HEADINGS:
+            marked = False  # an article's own title
+        number = len(self.parent)
+        self.parent.append(above)
         self.kind.append(tag)
-        self.open.append((tag, len(self.parent) - 1, skip, silent or tag in SILENT))
+        self.article.append(self.article[above] or (number if tag == "article" else 0))
+        self.main.append(self.main[above] or (number if tag == "main" else 0))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, number, marked, silent or tag in SILENT, head, len(self.open) if tag in BLOCKS else block))
         self.links += tag == "a"
-        self.article += tag in ("article", "main")
 
     def pop(self) -> None:
         if self.open[-1][0] in BLOCKS:
             self.flush()
         tag = self.open.pop()[0]
+        self.places[tag].pop()
         self.links -= tag == "a"
-        self.article -= tag in ("article", "main")
+
+    def pop_to(self, place: int) -> None:
+        while len(self.open) > place:
+            self.pop()
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                while len(self.open) > k:
-                    self.pop()
-                return
-            if self.open[k][0] in BLOCKS and tag not in BLOCKS:
-                return
-        if tag == "p":
+        at = self.places.get(tag)
+        if at and (tag in BLOCKS or at[-1] > self.open[-1][5]):  # an inline end tag closes nothing beyond its block
+            self.pop_to(at[-1])
+        elif tag == "p":
             self.flush()
 
     def handle_startendtag(self, tag, attrs):
@@ -136,8 +144,7 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data):
-        _, _, skip, silent = self.open[-1]
-        if silent:
+        if self.open[-1][3]:
             return
         self.parts.append(data)
         if self.links:
@@ -156,6 +163,21 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+def ratio(line: tuple) -> float:
+    """Characters outside links over tags; 0 for lines of marked elements."""
+    text, tags, linked, _, marked = line
+    return 0.0 if marked else max(len(text) - linked, 0) / max(tags, 1)
+
+
+def content_lines(lines: list[tuple]) -> list[int]:
+    """Lines whose smoothed ratio reaches the standard deviation of all, and whose own ratio is not 0."""
+    own = [ratio(x) for x in lines]
+    even = smooth(own)
+    mean = sum(even) / max(len(even), 1)
+    threshold = math.sqrt(sum((x - mean) ** 2 for x in even) / max(len(even), 1))
+    return [k for k, x in enumerate(even) if x >= threshold and own[k] > 0]
+
+
 def main_text(html: str | None) -> str:
     """Main text of a page; '' for null, empty and textless pages. Broken and unclosed tags are taken as browsers do, nearly."""
     if not html:
@@ -164,45 +186,30 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.flush()
-    lines = page.lines
-    ratios = [0.0 if skip else len(text) * (1 - min(linked / max(len(text), 1), 1)) / max(tags, 1) for text, tags, linked, _, skip in lines]
-    if not any(text and not skip for text, _, _, _, skip in lines):
-        return ""
-    even = smooth(ratios)
-    mean = sum(even) / len(even)
-    threshold = math.sqrt(sum((x - mean) ** 2 for x in even) / len(even))
-    content = [k for k, (x, line) in enumerate(zip(even, lines)) if x >= threshold and line[0] and not line[4] and ratios[k] > 0]
-    chosen = set(content)
+    lines, parent = page.lines, page.parent
+    free = [k for k, x in enumerate(lines) if x[0] and not x[4]]
+    content = content_lines(lines) or free  # a page of links alone
     if not content:
-        content = [k for k, line in enumerate(lines) if line[0] and not line[4]]
-    named, common = set(), None
-    for k in content:
-        around = [lines[k][3]]
-        while around[-1]:
-            around.append(page.parent[around[-1]])
-        named.update(([e for e in around if page.kind[e] == "article"] or [e for e in around if page.kind[e] == "main"])[-1:])
-        common = set(around) if common is None else common & set(around)
-    inside = named or {max(common)}  # elements are numbered as they open, so the last of a chain is the deepest
-    for e in range(min(inside) + 1, len(page.parent)):
-        if page.parent[e] in inside:
-            inside.add(e)
-    kept = [k for k, line in enumerate(lines) if line[0] and not line[4] and (line[3] in inside or k in chosen)]
-    if not named:  # no element says where the article is: from the heading before the first content line to the last
+        return ""
+    region = lambda k: page.article[lines[k][3]] or page.main[lines[k][3]]
+    named = {region(k) for k in content} - {0}
+    kept = {k for k in free if named & {page.article[lines[k][3]], page.main[lines[k][3]]}} | set(content)
+    if not named:  # no element says where the article is
         first, last = content[0], content[-1]
-        beside = lambda k, edge: page.parent[lines[k][3]] == page.parent[lines[edge][3]] and lines[k][2] <= 0.5 * len(lines[k][0])
-        # short lines before and after, as long as they stand in the same element as the content
-        for k in reversed([k for k in kept if k < content[0]]):
-            if not beside(k, content[0]):
-                break
-            first = k
-        for k in [k for k in kept if k > content[-1]]:
-            if not beside(k, content[-1]):
-                break
-            last = k
-        heads = [k for k in kept if k < first and page.kind[lines[k][3]] in HEADINGS]
-        first = min(heads[-1:] + [first]) if heads and heads[-1] >= first - 4 else first
-        kept = [k for k in kept if first <= k <= last and (k in chosen or lines[k][2] <= 0.5 * len(lines[k][0]))]
-    return "\n".join(lines[k][0] for k in kept)
+        kept.update(k for k in free if first < k < last and ratio(lines[k]) > 0)
+        of = lambda k: parent[lines[k][3]]
+        before, after = [k for k in free if k < first], [k for k in free if k > last]
+        # short lines beside the content in the same element, and the heading above it
+        for edge, rows in ((first, reversed(before)), (last, after)):
+            for k in rows:
+                if of(k) != of(edge) or not ratio(lines[k]):
+                    break
+                kept.add(k)
+        first = min(kept)
+        heads = [k for k in before if k < first and page.kind[lines[k][3]] in HEADINGS]
+        if heads and heads[-1] >= first - 4:
+            kept.update(k for k in before if heads[-1] <= k < first and ratio(lines[k]) > 0)
+    return "\n".join(lines[k][0] for k in sorted(kept))
 
 
 def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataFrame:
@@ -216,5 +223,3 @@ def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataF
         return pa.array([main_text(x) for x in html.to_pylist()], pa.string())
 
     return pages.withColumn(into, run(F.col(f"`{column}`").cast("string"))).withColumn("n_chars", F.char_length(into).cast("long"))
-
-
