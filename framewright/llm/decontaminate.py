@@ -1,7 +1,7 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
 Each task cuts its texts into shards, builds the suffix array of a shard's words (sorted to the depth of
-a window, by prefix doubling from three words), and binary-searches every suffix of every benchmark item
+a window, by prefix doubling from two words), and binary-searches every suffix of every benchmark item
 in it, level by level with the same ranks. A shard holds whole documents, so all of a document's matches
 are found where it is read and no text is shuffled.
 """
@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import alnum_table, slices, tidy, words
+from .util import alnum_table, slices, table, tidy, words
 
 WINDOW = 8
 #: Bytes of benchmark texts that one pass takes to every executor; a larger benchmark takes more passes.
 PASS_BYTES = 32 << 20
-_TABLE = alnum_table()
+_TABLE, _HALF = alnum_table(), np.uint64(32)
 
 
 class Suffixes:
@@ -33,25 +33,22 @@ class Suffixes:
         self.at = np.arange(n) + np.repeat(np.arange(texts), np.diff(first))  # place of each word
         s[self.at] = inverse + 1
         self.s, m = s, n + texts
-        b = np.uint64(21)
-        if len(self.names) >= 1 << 21:
-            raise ValueError("too many words in a shard")
-        key = (s[:m] << b | s[1 : m + 1]) << b | s[2 : m + 2]
+        key = s[:m] << _HALF | s[1 : m + 1]  # places and names have 32 bits: a shard of some 8 GB of words
         self.keys = []
-        for step in (3, 2, 0):
+        for step in (2, 4, 0):
             order = np.argsort(key)
             sorted_ = key[order]
             new = np.empty(m, bool)
             new[:1] = True
             np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
             self.keys.append(sorted_[new])
-            rank = np.zeros(m + 3, np.uint64)
+            rank = np.zeros(m + WINDOW, np.uint64)
             rank[order] = np.cumsum(new).astype(np.uint64)
             if step:
-                key = rank[:m] << np.uint64(32) | rank[step : m + step]
+                key = rank[:m] << _HALF | rank[step : m + step]
             self.order, self.begin = order, np.append(np.flatnonzero(new), m)
-            if step == 3:
-                self.order3, self.begin3 = self.order, self.begin
+            if step == 2:
+                self.order2, self.begin2 = self.order, self.begin
 
     @staticmethod
     def _find(keys: np.ndarray, x: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,13 +59,12 @@ class Suffixes:
     def search(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every window of WINDOW words of t: found, and the range of the array that begins with it."""
         m = len(t) - WINDOW + 1
-        b = np.uint64(21)
         name = np.searchsorted(self.names, t)
         known = self.names[np.minimum(name, len(self.names) - 1)] == t
         s = (name + 1).astype(np.uint64)
-        r, ok = self._find(self.keys[0], (s[:-2] << b | s[1:-1]) << b | s[2:], known[:-2] & known[1:-1] & known[2:])
-        r, ok = self._find(self.keys[1], r[:-3] << np.uint64(32) | r[3:], ok[:-3] & ok[3:])
-        r, ok = self._find(self.keys[2], r[:-2] << np.uint64(32) | r[2:], ok[:-2] & ok[2:])
+        r, ok = self._find(self.keys[0], s[:-1] << _HALF | s[1:], known[:-1] & known[1:])
+        r, ok = self._find(self.keys[1], r[:-2] << _HALF | r[2:], ok[:-2] & ok[2:])
+        r, ok = self._find(self.keys[2], r[:-4] << _HALF | r[4:], ok[:-4] & ok[4:])
         r = np.where(ok, r, 1).astype(np.int64) - 1
         return ok[:m], self.begin[r][:m], self.begin[r + 1][:m]
 
@@ -77,12 +73,11 @@ class Suffixes:
         name = np.searchsorted(self.names, t)
         if (self.names[np.minimum(name, len(self.names) - 1)] != t).any():
             return np.zeros(0, np.int64)
-        low = [int(x) + 1 for x in name[:3]] + [0] * (3 - len(t[:3]))
-        high = [int(x) + 1 for x in name[:3]] + [(1 << 21) - 1] * (3 - len(t[:3]))
-        join = lambda x: np.uint64((x[0] << 42) | (x[1] << 21) | x[2])
-        a, z = np.searchsorted(self.keys[0], join(low), "left"), np.searchsorted(self.keys[0], join(high), "right")
-        places = self.order3[self.begin3[a] : self.begin3[z]]
-        for k in range(3, len(t)):
+        low = (int(name[0]) + 1) << 32
+        low, high = (low + int(name[1]) + 1,) * 2 if len(t) > 1 else (low, low + 0xFFFFFFFF)
+        a, z = np.searchsorted(self.keys[0], np.uint64(low), "left"), np.searchsorted(self.keys[0], np.uint64(high), "right")
+        places = self.order2[self.begin2[a] : self.begin2[z]]
+        for k in range(2, len(t)):
             places = places[self.s[places + k] == np.uint64(name[k] + 1)]
         return places
 
@@ -166,7 +161,10 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -
         return _pass(docs, whole, keep)
     # each pass sees a bounded share of the items; spans and items of the passes then meet by row
     key = "__row"
-    rows = docs.select(*[f"`{c}`" for c in {*keep, "text"}], F.monotonically_increasing_id().alias(key))
+    while key in docs.columns:
+        key += "_"
+    # written once, so that a row has the same number in every pass, whatever stands upstream
+    rows = table(docs.select(*[f"`{c}`" for c in {*keep, "text"}], F.monotonically_increasing_id().alias(key)))
     out = None
     for k in range(passes):
         some = _pass(rows, whole.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k), [*keep, key])
