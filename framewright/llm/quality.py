@@ -1,8 +1,9 @@
 """Quality classifier: a factorisation machine over hashed words and structure statistics of texts.
 
 score = sigmoid(b + sum w_i x_i + 1/2 sum_f [(sum v_if x_i)^2 - sum v_if^2 x_i^2]): all pairs of features
-interact through vectors of RANK numbers, in time linear in the features. The features come from the text
-alone: its words, hashed, and what can be counted about it (length, marks, capitals, repeats, lines).
+interact through vectors of RANK numbers, in time linear in the features. The features are the text's words,
+hashed, what can be counted about it (length, marks, capitals, repeats, lines), and of the metadata n_chars, the
+one column that may be an input; it is counted from the text, so a table without it, or with a stale one, scores alike.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import alnum_table, slices, words
+from .util import alnum_table, drop_table, slices, table, words
 
 WORD_BITS, RANK, BINS = 17, 8, 16
-#: Labelled rows that the model is fitted on at most; of more, those of least xxhash64(doc_id) are taken.
-TRAIN_ROWS = 20_000
+#: Labelled rows, and bytes of their features, that the model is fitted on at most; of more, those of least xxhash64(doc_id).
+TRAIN_ROWS, TRAIN_BYTES = 20_000, 64 << 20
 EPOCHS, BATCH, RATE, DECAY, SEED = 6, 256, 0.08, 1e-5, 7
 _TABLE = alnum_table()
-STATS = ("bytes", "words", "word_length", "capitals", "digits", "marks", "kinds_of_marks", "high_bytes", "distinct", "repeats", "most_frequent", "lines", "line_length", "blank", "pairs", "capital_runs")
+STATS = ("bytes", "words", "word_length", "capitals", "digits", "marks", "kinds_of_marks", "high_bytes", "distinct", "repeats", "most_frequent", "lines", "line_length", "blank", "pairs", "capital_runs", "n_chars")
 SIZE = (1 << WORD_BITS) + len(STATS) * BINS
 
 
@@ -88,6 +89,7 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         fraction(over(per(mark), size)), np.minimum(kinds, BINS - 1), fraction(over(per(data >= 128), size)), fraction(over(np.bincount(of, minlength=n)[:n], many)),
         fraction(over(np.bincount(text.astype(np.int64), same, n), many)), fraction(over(top, many)), logs(lines), logs(size / lines), fraction(over(per(blank), size)),
         fraction(over(np.bincount(text.astype(np.int64), twice, n), many)), fraction(over(per(runs), per(letter))),
+        logs(per((data & 0xC0) != 0x80)),
     ]
     k = len(STATS)
     number = np.stack([(1 << WORD_BITS) + i * BINS + np.floor(s).astype(np.int64) for i, s in enumerate(stats)], 1)
@@ -140,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """A model of labels (doc_id, quality) over the texts of docs (doc_id, text).
 
     Null ids and null qualities are left out, of repeated ids the least quality counts. Without a row the
-    model gives every text the prior 0.5. At most `rows` rows reach one place, as features.
+    model gives every text the prior 0.5. At most `rows` rows and TRAIN_BYTES reach one place, as features.
     """
     sample = (
         labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
@@ -155,7 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 cut = [slice(a, z) for a, z in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array([index[c].tobytes() for c in cut], pa.binary()), pa.array([x[c].astype(np.float16).tobytes() for c in cut], pa.binary())], ["at", "y", "index", "x"])
 
-    got = sorted(mine.mapInArrow(run, "at long, y int, index binary, x binary").collect())
+    made = table(mine.mapInArrow(run, "at long, y int, index binary, x binary"))
+    sizes = sorted(tuple(r) for r in made.select("at", F.octet_length("index") + F.octet_length("x")).collect())
+    fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), TRAIN_BYTES, "right"))
+    got = sorted(tuple(r) for r in (made.where(F.col("at") <= sizes[fits - 1][0]) if fits else made.limit(0)).collect())
+    drop_table(made)
     index = np.concatenate([np.frombuffer(r[2], np.int32) for r in got]) if got else np.zeros(0, np.int32)
     x = np.concatenate([np.frombuffer(r[3], np.float16) for r in got]).astype(np.float32) if got else np.zeros(0, np.float32)
     first = np.cumsum([0, *(len(r[2]) // 4 for r in got)])
