@@ -58,13 +58,19 @@ def is_upper(text: Column) -> Column:
 
 
 _WORD = re.compile(r"\w+")
-_MARKS = re.compile("[" + "".join(map(re.escape, filter(unicodedata.combining, map(chr, range(0x110000))))) + "]")
+#: The usual marks, beyond which few texts have any; all marks; letters among which there may be others.
+_USUAL, _MARKS = re.compile("[\u0300-\u034e\u0350-\u036f]+"), re.compile("[" + "".join(map(re.escape, filter(unicodedata.combining, map(chr, range(0x110000))))) + "]")
+_BEYOND = re.compile("[^\x00-\u02ff]")
 
 
 def _plain(s: str) -> str:
     """base_form of a string in Python."""
-    s = s.translate({0x111: "d", 0x110: "d"}).lower()
-    return s if s.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", s))
+    s = s.translate({0x111: "d", 0x110: "d"}) if "\u0111" in s or "\u0110" in s else s
+    s = s.lower()
+    if s.isascii():
+        return s
+    s = _USUAL.sub("", unicodedata.normalize("NFD", s))
+    return _MARKS.sub("", s) if _BEYOND.search(s) else s
 
 
 def reconciled(base: str | None, vlm: str | None) -> str | None:
