@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from framewright.llm import decontaminate, embeddings, html, jaccard, secrets, suffixes, util
+from framewright.llm import decontaminate, embeddings, graph, html, jaccard, secrets, suffixes, util
 
 
 def test_stage_removes_single_item_documents(spark, tmp_path):
@@ -200,3 +200,16 @@ def test_pages_of_open_tags_take_linear_time():
         started = time.time()
         html.main_text(page)
         assert time.time() - started < 20
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, most):
+    monkeypatch.setattr(graph, "ONE_TASK", most)
+    rng = random.Random(1)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, 900) for k in range(500, 600)] + [(7, 7)]
+    low = {k: k for e in edges for k in e}
+    for _ in range(len(low)):
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: v for k, v in low.items() if k != v}
