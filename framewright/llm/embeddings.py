@@ -1,8 +1,9 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells.
 
-Angles obey the triangle inequality, so a vector within the link angle of a cell's member lies within that
-cell's radius plus the link angle of its centre. Every vector is compared in its own cell and, as a
-visitor, in each lower-numbered cell so close; no link is lost. Equal vectors are one row with a count.
+The plane halfway between the centres of two cells parts their vectors. Two linked unit vectors are at most
+sqrt(2 - 2 cos) apart, so if they lie in two cells, one of them is within half of that of the plane between the
+cells. A vector is compared in its own cell and, as a visitor, in each cell whose plane is so near; no link is
+lost, and a pair that meets in both cells counts in one. Equal vectors are one row with a count.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, roots, runs
-from .util import parts, table
+from .util import parts, scratch, table
 
 THRESHOLD = 0.93
-#: Rows of a label for each cell aimed at; cells in all; rows that k-means is fitted on; rows of a block.
-CELL_ROWS, CELLS, SAMPLE, BLOCK, ROUNDS, SEED = 2000, 2048, 40_000, 2048, 8, 11
+#: Rows of a label for each cell aimed at; cells in all; rows and bytes that k-means is fitted on; rows of a block.
+CELL_ROWS, CELLS, SAMPLE, SAMPLE_BYTES, BLOCK, ROUNDS, SEED = 1000, 4096, 40_000, 32 << 20, 2048, 8, 11
 
 _UNIT = "uid long, vec_id long, label long, dim int, copy binary, unit binary"
 
@@ -59,8 +60,14 @@ def k_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centres
 
 
-def _angle(dots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(dots, -1, 1))
+def visits(dots: np.ndarray, centres: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Of vectors given by their products with the centres: the cell of each, and which other cells it visits."""
+    home = dots.argmax(1)
+    square = (centres**2).sum(1)
+    apart = np.sqrt(np.maximum(square[:, None] + square - 2 * centres @ centres.T, 0))
+    near = dots[np.arange(len(dots)), home][:, None] - dots <= apart[home] * (math.sqrt(2 - 2 * threshold) / 2) + 1e-6
+    near[np.arange(len(dots)), home] = False
+    return home, near
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -71,6 +78,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     Repeated vec_ids are rows of their own. A null vec_id stays null, and kept with it. An empty table
     gives no row.
     """
+    with scratch() as kept:
+        out = table(_near_duplicates(vectors, threshold))
+        kept.append(out)
+    return out
+
+
+def _near_duplicates(vectors: DataFrame, threshold: float) -> DataFrame:
     spark = vectors.sparkSession
     rows = table(vectors.select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>")))
     units = table(rows.select("uid", "vec_id", "label", "embedding").mapInArrow(_units, _UNIT), compression="none")
@@ -83,7 +97,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     centres: dict[tuple, np.ndarray] = {}
     if any(k > 1 for k in cells.values()):
         sample: dict[tuple, list] = {}
-        for r in single.withColumn("at", F.xxhash64("uid")).orderBy("at", "uid").limit(SAMPLE).collect():
+        most = min(SAMPLE, max(SAMPLE_BYTES // (8 * max(r["dim"] for r in sizes)), 1))
+        for r in single.where(F.col("dim") <= max(r["dim"] for r in sizes)).withColumn("at", F.xxhash64("uid")).orderBy("at", "uid").limit(most).collect():
             sample.setdefault((r["label"], r["dim"]), []).append(np.frombuffer(r["unit"]))
         for key, k in cells.items():
             if k > 1 and len(sample.get(key, ())) >= k:
@@ -91,50 +106,38 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     number, begin = 0, {}
     for key, c in centres.items():
         begin[key], number = number, number + len(c)
-    link = math.acos(threshold) + 1e-9
 
-    def home(batches):
-        """Cell number from `begin`, or -1 for groups that are one cell; the angle to its centre."""
-        for b in batches:
-            cell, angle = np.full(b.num_rows, -1), np.zeros(b.num_rows)
-            for key, at in _by_key(b):
-                if key in centres:
-                    d = _stack(b, at) @ centres[key].T
-                    cell[at] = begin[key] + d.argmax(1)
-                    angle[at] = _angle(d.max(1))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(angle)], [*b.schema.names, "cell", "angle"])
-
-    held = table(single.select("label", "dim", "uid", "n", "unit").mapInArrow(home, "label long, dim int, uid long, n long, unit binary, cell long, angle double"), compression="none")
-    radius = np.full(max(number, 1), -1.0)
-    for r in held.where("cell >= 0").groupBy("cell").agg(F.max("angle").alias("r")).collect():
-        radius[r["cell"]] = r["r"]
-
-    def visits(batches):
-        """A row for the own cell, and one for each lower cell that the vector may have a link in."""
+    def place(batches):
+        """A row for the own cell, with the cells visited, and one for each of these. Cell -1: groups that are one cell."""
         for b in batches:
-            take, cell = [np.arange(b.num_rows)], [b.column(5).to_numpy(zero_copy_only=False)]
+            n = b.num_rows
+            home, to = np.full(n, -1), [b""] * n
+            take, cell = [np.arange(n)], []
             for key, at in _by_key(b):
                 if key in centres:
-                    a, lo = _angle(_stack(b, at) @ centres[key].T), begin[key]
-                    near = (a <= radius[lo : lo + a.shape[1]] + link) & (np.arange(a.shape[1]) + lo < cell[0][at][:, None])
+                    h, near = visits(_stack(b, at) @ centres[key].T, centres[key], threshold)
+                    home[at] = h + begin[key]
                     i, c = np.nonzero(near)
                     take.append(at[i])
-                    cell.append(c + lo)
-            i = pa.array(np.concatenate(take))
-            own = np.arange(len(i)) < b.num_rows
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(i) for k in range(5)), pa.array(np.concatenate(cell)), pa.array(own)], [*b.schema.names[:5], "cell", "own"])
-
-    placed = table(held.mapInArrow(visits, "label long, dim int, uid long, n long, unit binary, cell long, own boolean"), compression="none")
+                    cell.append(c + begin[key])
+                    for k, x in zip(at, np.split((c + begin[key]).astype(np.int32), np.cumsum(np.bincount(i, minlength=len(at)))[:-1])):
+                        to[k] = x.tobytes()
+            i = np.concatenate(take)
+            own = np.arange(len(i)) < n
+            to = pa.array([to[k] if o else None for k, o in zip(i, own)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(pa.array(i)) for k in range(5)), pa.array(np.concatenate([home, *cell])), pa.array(own), pa.array(home[i]), to], [*b.schema.names[:5], "cell", "own", "home", "to"])
+
+    placed = table(single.select("label", "dim", "uid", "n", "unit").mapInArrow(place, "label long, dim int, uid long, n long, unit binary, cell long, own boolean, home long, to binary"), compression="none")
     # Blocks of a cell: its own rows in `h` parts, visitors in `v`. Pairs of parts are compared one by one.
     by = ["label", "dim", "cell"]
     many = placed.groupBy(*by).agg(F.ceil(F.sum(F.col("own").cast("long")) / BLOCK).alias("h"), F.ceil(F.sum((~F.col("own")).cast("long")) / BLOCK).alias("v"))
-    part = placed.join(many, by).withColumn("at", F.pmod(F.xxhash64("uid"), F.when(F.col("own"), F.col("h")).otherwise(F.col("v"))))
+    part = placed.join(table(many), by).withColumn("at", F.pmod(F.xxhash64("uid"), F.when(F.col("own"), F.col("h")).otherwise(F.col("v"))))
     seq = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     own = F.transform(seq(F.col("h")), lambda k: F.struct(F.lit(0).alias("kind"), F.least(k, F.col("at")).alias("i"), F.greatest(k, F.col("at")).alias("j")))
     hosts = F.when(F.col("v") > 0, F.transform(seq(F.greatest(F.col("v"), F.lit(1))), lambda k: F.struct(F.lit(1).alias("kind"), F.col("at").alias("i"), k.alias("j")))).otherwise(F.array().cast("array<struct<kind:int,i:bigint,j:bigint>>"))
     guests = F.transform(seq(F.col("h")), lambda k: F.struct(F.lit(1).alias("kind"), k.alias("i"), F.col("at").alias("j")))
     blocks = part.withColumn("b", F.explode(F.when(F.col("own"), F.concat(own, hosts)).otherwise(guests)))
-    blocks = blocks.select(F.xxhash64(*by, "b").alias("task"), *by, "b.kind", "b.i", "b.j", "own", "at", "uid", "n", "unit")
+    blocks = blocks.select(F.xxhash64(*by, "b").alias("task"), *by, "b.kind", "b.i", "b.j", "own", "at", "uid", "n", "unit", "home", "to")
     tasks = parts(spark, int(placed.count()), 4 * BLOCK)
     linked = table(blocks.repartition(tasks, "task").sortWithinPartitions("task", *by, "kind", "i", "j", "uid").mapInArrow(lambda bs: _compare(bs, threshold), "uid long, links long, root long"))
 
@@ -171,17 +174,24 @@ def _compare(batches, threshold: float):
 
 
 def _block(b: pa.RecordBatch, threshold: float) -> pa.RecordBatch:
-    kind, i, j = (b.column(k)[0].as_py() for k in (4, 5, 6))
+    cell, kind, i, j = (b.column(k)[0].as_py() for k in (3, 4, 5, 6))
     own, at, uid, n = (b.column(k).to_numpy(zero_copy_only=False) for k in (7, 8, 9, 10))
     x = np.stack([np.frombuffer(v.as_py()) for v in b.column(11)])
     left, right = (np.flatnonzero(own), np.flatnonzero(~own)) if kind else (np.flatnonzero(at == i), np.flatnonzero(at == j))
     same = not kind and i == j
+    if kind:  # a pair whose own-cell row visits a lower cell, its visitor's own, counts there
+        homes, of = np.unique(b.column(12).to_numpy(zero_copy_only=False)[right], return_inverse=True)
+        lower = np.zeros((len(left), len(homes)), bool)
+        for k, row in enumerate(left):
+            lower[k] = np.isin(homes, np.frombuffer(b.column(13)[int(row)].as_py(), np.int32)) & (homes < cell)
     links, pairs = np.zeros(len(uid), np.int64), []
     for s in range(0, len(left), 512):
         some = left[s : s + 512]
         hit = x[some] @ x[right].T >= threshold
         if same:
             hit[np.arange(len(some)), np.arange(s, s + len(some))] = False
+        elif kind:
+            hit &= ~lower[s : s + 512][:, of]
         p, q = np.nonzero(hit)
         links[some] += hit @ n[right]
         if not same:
