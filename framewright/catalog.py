@@ -274,13 +274,29 @@ def _ocr(spark, sf):
     return rows.withColumn("text", F.array_join(line, "\n"))
 
 
-@query()
+_RUNS = "'[\\p{L}\\p{N}_]+'"
+
+
+def _reconciled_sql(read: str) -> str:
+    """Base texts, a row a line, with the reading's words where the line's run of base forms stands in it. read: which frames have a reading."""
+    flat = lambda w: f"strip_accents(lower(translate(array_to_string({w}, ' '), 'đĐ', 'dd')))"
+    return f"""{ctes('ocr')}, l as (select vid, vlm_text, unnest(string_split(vlm_text, chr(10))) x, unnest(range(len(string_split(vlm_text, chr(10))))) i from f_ocr),
+  b as (select vid, i, case when i % 2 = 1 then upper(strip_accents(x)) else strip_accents(x) end line from l),
+  h as (select vid, regexp_extract_all(vlm_text, {_RUNS}) ws, ' ' || {flat(f"regexp_extract_all(vlm_text, {_RUNS})")} || ' ' hay from f_ocr where {read}),
+  o as (select vid, i, line, regexp_extract_all(line, {_RUNS}) own from b),
+  r as (select o.vid, i, line, len(own) n, ws, hay, instr(hay, ' ' || {flat('own')} || ' ') place from o left join h on h.vid = o.vid),
+  k as (select *, length(hay[1:place]) - length(replace(hay[1:place], ' ', '')) w from r),
+  t as (select vid, i, line, case when coalesce(place, 0) = 0 or n = 0 then line else array_to_string(ws[w:w + n - 1], ' ') end said, coalesce(place, 0) > 0 and n > 0 found from k),
+  u as (select vid, string_agg(case when found and upper(line) = line and lower(line) <> line then upper(said) else said end, chr(10) order by i) out from t group by vid)
+  select f_ocr.vid, md5(out) """
+
+
+@query(_reconciled_sql("true") + "lines from f_ocr left join u on u.vid = f_ocr.vid")
 def reconcile_lines(spark, sf):
-    """Word runs in long lists are too slow in SQL over whole texts: tested against a direct version."""
     return _ocr(spark, sf).select("vid", F.md5(text.reconcile_lines(F.col("text"), F.col("vlm_text"))).alias("lines"))
 
 
-@query()
+@query(_reconciled_sql("vid % 7 <> 3") + '"text" from f_ocr left join u on u.vid = f_ocr.vid')
 def ocr_crosscheck(spark, sf):
     rows = _ocr(spark, sf)
     got = ocr.cross_check(rows.select("vid", "text"), rows.where("vid % 7 <> 3").select("vid", "vlm_text"), ["vid"])
@@ -624,9 +640,9 @@ def path_relative(spark, sf):
 # Models and binary -------------------------------------------------------------------------------
 
 
-@query()
+@query(f"{ctes('transcripts')} select vid, idx, {encoders.SLOTS['gte'].dim} dim, null::varchar error from f_transcripts")
 def stub_embed(spark, sf):
-    """Vectors of the stand-in encoder: no SQL has them."""
+    """Lengths and errors of the stand-in encoder's vectors; the numbers themselves no SQL has."""
     got = encoders.encode_transcripts(view(spark, sf, "transcripts"))
     return got.select("vid", "idx", F.size("vec").alias("dim"), F.col("error"))
 
