@@ -39,3 +39,40 @@ left join (select a, min(b) low from reach group by a) r on r.a = e.vec_id
 """
 
 SQL["op5_embeddings"] = OP5
+
+OP7 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(ws[k:k + least(len(ws), 5) - 1], ' ') g
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) k from w where len(ws) > 0)),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+one as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 5 * c >= 4 * (x.n + y.n - c)),
+link as (select a, b from one union all select b, a from one),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
+select d.doc_id, least(d.doc_id, coalesce(low, d.doc_id)) class_id, coalesce(n_links, 0)::bigint n_links, least(d.doc_id, coalesce(low, d.doc_id)) = d.doc_id kept
+from documents d left join (select a, count(*) n_links from link group by a) l on l.a = d.doc_id
+left join (select a, min(b) low from reach group by a) r on r.a = d.doc_id
+"""
+
+SQL["op7_jaccard"] = OP7
+
+OP8 = """
+with d as (select doc_id, encode(coalesce(text, '')) b, octet_length(encode(coalesce(text, '')))::bigint n from documents),
+w as (select doc_id, s, md5(b[s + 1:s + 100]) h from (select doc_id, b, unnest(range(0, n - 99)) s from d where n >= 100)),
+again as (select doc_id, s from w qualify row_number() over (partition by h order by doc_id, s) > 1),
+step as (select *, (s - lag(s) over (partition by doc_id order by s) <= 100) is not true fresh from again),
+run as (select *, sum(fresh::int) over (partition by doc_id order by s) k from step),
+gone as (select doc_id, min(s) a, max(s) + 100 z from run group by doc_id, k),
+part as (
+  select doc_id, coalesce(lag(z) over (partition by doc_id order by a), 0) a, a z from gone
+  union all select d.doc_id, coalesce(max(z), 0), any_value(n) from d left join gone on gone.doc_id = d.doc_id group by d.doc_id),
+kept as (select part.doc_id, unhex(string_agg(hex(b[a + 1:z]), '' order by a)) k from part join d on d.doc_id = part.doc_id group by part.doc_id),
+sums as (select doc_id, sum(z - a)::bigint n_removed, count(*) n_spans from gone group by doc_id)
+select d.doc_id, n n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n_spans, 0)::bigint n_spans, sha256(k) kept_sha256
+from d join kept on kept.doc_id = d.doc_id left join sums on sums.doc_id = d.doc_id
+"""
+
+SQL["op8_suffixes"] = OP8
