@@ -733,3 +733,38 @@ _SQL["slide_split"] = f"""{ctes('frames')}, sc as ({_SHOTS}),
       case when pt - prev < 45 or z.f_end - pt < 45 then null else prev end, case when pt - prev < 45 or z.f_end - pt < 45 then null else pt - 1 end
     from z join ins on ins.vid = z.vid and ins.ord = z.ord and ins.k = z.k + 1)
   select vid, ord, a f_start, e f_end from z where a is not null union all select vid, ord, arg_max(prev, k), any_value(f_end) from z group by vid, ord"""
+
+_SILENCE = _SQL["silence_split"].rsplit("select vid, idx, s s0", 1)[0]
+
+
+@query(_SILENCE + """select vid, idx, round_even(s / 1.0::double * 1000, 0)::bigint time_start_ms, round_even(coalesce(e, t) / 1.0::double * 1000, 0)::bigint time_end_ms, 'chunk ' || idx "text" from o where coalesce(e, t) > s""")
+def transcript_plan(spark, sf):
+    """A sample a second; the stand-in for speech names the chunk."""
+    speak = lambda cut: cut.withColumn("text", F.concat(F.lit("  Chunk "), F.col("idx").cast("string"), F.lit(" \n")))
+    return pipelines.transcript_plan(view(spark, sf, "audio"), 1, speak, (20, 5, 2, 5))
+
+
+def _half_sql(x: str) -> str:
+    unit = f"pow(2.0::double, greatest(floor(log2(abs({x}))), -14) - 10)"
+    return f"case when {x} = 0 then 0.0::double else round_even(({x}) / {unit}, 0) * {unit} end"
+
+
+_KEPT = _SQL["greedy_nms"].rsplit("select img, slot, kept", 1)[0]
+_UNIT = "list_transform([b.cx + 1, b.cy + 1, b.w], lambda v: v / (sqrt((b.cx + 1) * (b.cx + 1) + (b.cy + 1) * (b.cy + 1) + b.w * b.w) + 1e-6))"
+
+
+@query(
+    _KEPT
+    + f""", k as (select o.img, slot, kept[slot + 1] x, 640 + o.img % 5 * 100 wd, 480 hg from out o),
+  f as (select k.img, slot, least(1, x.x1 * (greatest(wd, hg)::double / wd)) x1, least(1, x.y1 * (greatest(wd, hg)::double / hg)) y1, least(1, x.x2 * (greatest(wd, hg)::double / wd)) x2, least(1, x.y2 * (greatest(wd, hg)::double / hg)) y2,
+    {_UNIT} e, b.w - 0.1 shift, case when b.cx - 0.5 > 0 then b.cx - 0.5 + 1 else exp(b.cx - 0.5) end scale, b.obj / 1000 obj from k join f_boxes b on b.img = k.img and b.rid = k.x.rid),
+  g as (select img, unnest(range(32)) slot from (select distinct img from f_boxes))
+  select g.img, g.slot, {", ".join(f"coalesce({_half_sql(c)}, 0) {c}" for c in ("x1", "y1", "x2", "y2"))}, {", ".join(f"coalesce({_half_sql(f'e[{n}]')}, 0) e{n}" for n in (1, 2, 3))},
+    coalesce({_half_sql("shift")}, -10000) shift, coalesce({_half_sql("scale")}, -10000) scale, coalesce({_half_sql("obj")}, -10000) objectness
+  from g left join f on f.img = g.img and f.slot = g.slot"""
+)
+def detection_plan(spark, sf):
+    raw = view(spark, sf, "boxes").withColumns({"obj": F.col("obj") / 1000, "shift": F.col("w") - 0.1, "scale": F.col("cx") - 0.5, "emb": F.array(F.col("cx") + 1, F.col("cy") + 1, "w")})
+    sizes = raw.select("img", (640 + F.col("img") % 5 * 100).alias("width"), F.lit(480).alias("height")).distinct()
+    got = pipelines.detection_plan(raw, sizes)
+    return got.select("img", "slot", *[F.col(f"box.{c}").alias(c) for c in ("x1", "y1", "x2", "y2")], *[F.get("emb", F.lit(n - 1)).alias(f"e{n}") for n in (1, 2, 3)], "shift", "scale", "objectness")
