@@ -4,7 +4,8 @@ A document is its set of word shingles; equal sets are one node with a count. In
 than SMALL nodes is split by sampled tokens: the bucket's own key chooses places of the nodes' signatures, one
 always and a second one in four times (1 / 0.8 on average), and a node goes on to one bucket for each, that of
 its least shingle there. Two nodes share such a step with the chance of their similarity. Buckets of SMALL
-nodes and those of the last level are compared by brute force on short signatures. BATCH runs at a time are
+nodes and those of the last level are compared by brute force on short signatures. A bucket of BLOCK nodes at
+most is split in one task, a larger one by Spark. BATCH runs at a time are
 repeated until a further batch moves fewer than 1 - TARGET of the linked nodes to another group. What signatures
 join is then compared exactly, every pair within, in blocks.
 """
@@ -107,27 +108,89 @@ def _split(batches, first: int | None):
                     yield pa.RecordBatch.from_arrays([pa.array(_step(key[some], place[some], sig[some]).view(np.int64)), pa.array(node[some])], ["key", "node"])
 
 
+def _leaves(key: int, mine: np.ndarray, sig: np.ndarray, depth: int, small: int) -> list[np.ndarray]:
+    """Rows `mine` of a bucket, split as _split does until parts are small or `depth` steps are done."""
+    if len(mine) < 2:
+        return []
+    if len(mine) <= small or not depth:
+        return [mine]
+    out = []
+    k = np.array([key], np.uint64)
+    for place in _chosen(k):
+        if place[0] >= 0:
+            below = _step(np.full(len(mine), k[0]), np.full(len(mine), place[0]), sig[mine])
+            order = np.argsort(below, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(below[order])) + 1):
+                out += _leaves(int(below[part[0]]), mine[part], sig, depth - 1, small)
+    return out
+
+
+@tidy
+def _within(batches, small: int):
+    """_alike for whole buckets (key, steps left, node, sig): split further here, then compared one by one."""
+    for b in runs(batches, 0):
+        a, z = _cut(b, 1)
+        key, left, node = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        some = np.flatnonzero(z - a > 1)
+        if not len(some):
+            continue
+        sig = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(b.num_rows, HASHES)
+        p, q, even = [], [], []
+        for k in some:
+            if z[k] - a[k] <= 32:
+                even.append(np.arange(a[k], z[k]))
+                continue
+            for leaf in _leaves(int(key[a[k]].view(np.uint64)), np.arange(a[k], z[k]), sig, int(left[a[k]]), small):
+                if len(leaf) <= 32:
+                    even.append(leaf)
+                    continue
+                for s in range(0, len(leaf), 64):
+                    x, y = np.nonzero((sig[leaf[s : s + 64], None] == sig[None, leaf]).sum(2, dtype=np.uint8) >= AGREE)
+                    p.append(leaf[s : s + 64][x])
+                    q.append(leaf[y])
+        if even:  # many small ones at once, by their distance in a row
+            order, group = np.concatenate(even), np.repeat(np.arange(len(even)), list(map(len, even)))
+            for lag in range(1, max(map(len, even))):
+                one = np.flatnonzero(group[lag:] == group[:-lag])
+                for s in range(0, len(one), 1 << 16):
+                    o = one[s : s + (1 << 16)]
+                    o = o[(sig[order[o]] == sig[order[o + lag]]).sum(1) >= AGREE]
+                    p.append(order[o])
+                    q.append(order[o + lag])
+        root = node[roots(len(node), np.concatenate(p), np.concatenate(q))] if p else node
+        far = np.flatnonzero(root != node)
+        if len(far):
+            yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(root[far])], ["a", "b"])
+
+
 def _batch(nodes: DataFrame, low: DataFrame, first: int, tasks: int) -> DataFrame:
-    """(a, b): pairs that tell which nodes BATCH runs from number `first` on find alike."""
+    """(a, b): pairs that tell which nodes BATCH runs from number `first` on find alike.
+
+    Buckets of BLOCK nodes at most go to one task each, which splits them further; larger ones are split by Spark, a
+    level at a time, and what is still larger at the last level is compared in blocks.
+    """
     left = table(nodes.select("node", "sig").mapInArrow(lambda bs: _split(bs, first), "key long, node long"))
-    buckets = []
+    fit, blocks, small_ = [], None, SMALL
     for level in range(1, DEPTH + 1):
         # a table of its own: Spark splits a hot key of a join only if both sides are plain shuffles
-        count = table(left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
-        here = left.join(count, "key")
-        done = here if level == DEPTH else here.where(F.col("size") <= SMALL)
-        buckets.append(done.select(F.col("key").alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+        large = table(left.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK))
+        n = large.count()
+        some = left.join(small(large.select("key"), 8 * n), "key", "left_anti") if n else left
+        fit.append(some.withColumn("left", F.lit(DEPTH - level)))
+        if not n:
+            break
+        here = left.join(large, "key")
         if level < DEPTH:
-            large = here.where(F.col("size") > SMALL).select("key", "node").join(low, "node").select("key", "node", "sig")
-            left = table(large.mapInArrow(lambda bs: _split(bs, None), "key long, node long"))
-            if left.isEmpty():
-                break
-    bucket = buckets[0]
-    for more in buckets[1:]:
-        bucket = bucket.union(more)
-    blocks = _pairs_of_blocks(bucket, "bucket", "blocks", "node").join(low, "node")
-    blocks = blocks.select("task", "bucket", "pair.i", "pair.j", "at", "node", "sig")
-    return blocks.repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
+            left = table(here.select("key", "node").join(low, "node").select("key", "node", "sig").mapInArrow(lambda bs: _split(bs, None), "key long, node long"))
+        else:
+            blocks = _pairs_of_blocks(here.select(F.col("key").alias("bucket"), "node", F.ceil(F.col("size") / BLOCK).alias("blocks")), "bucket", "blocks", "node").join(low, "node")
+            blocks = blocks.select("task", "bucket", "pair.i", "pair.j", "at", "node", "sig").repartition(tasks, "task").sortWithinPartitions("task", "bucket", "i", "j", "node").mapInArrow(_alike, "a long, b long")
+    rows = fit[0]
+    for more in fit[1:]:
+        rows = rows.unionAll(more)
+    rows = rows.join(low, "node").select("key", "left", "node", "sig").repartition(tasks, "key").sortWithinPartitions("key", "node")
+    within = rows.mapInArrow(lambda bs: _within(bs, small_), "a long, b long")
+    return within if blocks is None else within.unionAll(blocks)
 
 
 def _groups(nodes: DataFrame, size: int) -> DataFrame:
