@@ -27,7 +27,7 @@ from .util import _powers, mix, parts, slices, table, text_bytes, tidy
 
 LENGTH, ANCHOR, SEGMENT = 100, 24, 1 << 20
 #: Bytes of text that a task gathers before it sends stretches on, and that one shard of anchors stands for.
-GATHER, SHARD = 16 << 20, 12 << 20
+GATHER, SHARD = 16 << 20, 8 << 20
 #: Bytes of stretches that one suffix array is built over.
 ARRAY = 1 << 20
 #: Different stretches of an anchor in one gathering, from which on its windows are sent one by one; bytes that a shard holds
@@ -255,7 +255,7 @@ def _meet(batches, length: int):
 
 
 @tidy
-def _send(batches, shards: int, length: int):
+def _send(batches, shards: int, length: int, hot_from: int = HOT):
     """Rows (shard, kind, payload): stretches by shard of anchor, one of each content (kind 0), what repeats within the task
     as spans (1), and windows of anchors that are hot there (2), with a note of these to their shard (3)."""
     squeeze = zstandard.ZstdCompressor(level=3)
@@ -275,11 +275,11 @@ def _send(batches, shards: int, length: int):
         o = o[~again]
         first = np.flatnonzero(np.append(True, anchor[o][1:] != anchor[o][:-1])) if len(o) else np.zeros(0, np.int64)
         many = np.diff(np.append(first, len(o)))
-        hot = np.repeat(many >= HOT, many)
+        hot = np.repeat(many >= hot_from, many)
         if hot.any():
             r = o[hot]
             rows += _window_rows(raw, begin[r], size[r], uid[r], doc[r], start[r], shards, length)
-            rows += [(int(x % np.uint64(shards)), 3, x.tobytes()) for x in anchor[o[first[many >= HOT]]]]
+            rows += [(int(x % np.uint64(shards)), 3, x.tobytes()) for x in anchor[o[first[many >= hot_from]]]]
             o = o[~hot]
         shard = (anchor[o] % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((start[o], uid[o], shard))
@@ -313,7 +313,7 @@ def _send(batches, shards: int, length: int):
 
 
 @tidy
-def _receive(batches, shards: int, length: int):
+def _receive(batches, shards: int, length: int, array: int = ARRAY, most: int = HELD):
     """Rows (kind, shard, uid, spans): spans that earlier text has, of all shards in the task (kind 0), and windows of
     anchors that are hot, here or where they were read (2)."""
     held: dict[int, _Shard] = {}
@@ -332,11 +332,11 @@ def _receive(batches, shards: int, length: int):
             if kind in (1, 2):
                 yield from forward([row])
             elif kind == 3:
-                held.setdefault(shard, _Shard(shards, length)).hot.add(payload)
+                held.setdefault(shard, _Shard(shards, length, array, most)).hot.add(payload)
             else:
-                s = held.setdefault(shard, _Shard(shards, length))
+                s = held.setdefault(shard, _Shard(shards, length, array, most))
                 s.add(payload)
-                if s.bytes > HELD:
+                if s.bytes > most:
                     yield from forward(s.split())
     for shard in list(held):
         s = held.pop(shard)
@@ -371,8 +371,9 @@ def _spans(uid, start, end) -> pa.RecordBatch:
 class _Shard:
     """Stretches of the anchors of a shard."""
 
-    def __init__(self, shards: int, length: int):
-        self.shards, self.length, self.hot, self.parts, self.bytes = shards, length, set(), [], 0
+    def __init__(self, shards: int, length: int, array: int, most: int):
+        self.shards, self.length, self.array, self.most = shards, length, array, most
+        self.hot, self.parts, self.bytes = set(), [], 0
 
     def add(self, payload: bytes) -> None:
         raw = zstandard.decompress(payload)
@@ -399,21 +400,21 @@ class _Shard:
 
     def split(self):
         """Takes hot anchors out: rows of their windows."""
-        if not self.parts or not self.hot and self.bytes <= ARRAY:
+        if not self.parts or not self.hot and self.bytes <= self.array:
             return
         uid, doc, start, size, anchor, whole, data, begin = self.gather()
         names, of = np.unique(anchor, return_inverse=True)
         # copies of one content, compared first, do not make an anchor hot
         o, again = _equal(anchor, whole, doc, uid, start)
         weight = np.bincount(of[o[~again]], size[o[~again]], len(names))
-        hot = weight > ARRAY
+        hot = weight > self.array
         if self.hot:
             hot |= np.isin(names, np.frombuffer(b"".join(self.hot), np.uint64))
         self.hot |= {x.tobytes() for x in names[hot]}
         r = np.flatnonzero(hot[of])
         if len(r):
             yield from _window_rows(data, begin[r], size[r], uid[r], doc[r], start[r], self.shards, self.length)
-        if len(r) or self.bytes > HELD:
+        if len(r) or self.bytes > self.most:
             k = np.flatnonzero(~hot[of])
             kept = (uid[k], doc[k], start[k], size[k], anchor[k], whole[k], _gathered(data, begin[k], size[k]))
             self.parts, self.bytes = [kept] if len(k) else [], len(kept[-1])
@@ -438,7 +439,7 @@ class _Shard:
             return
         x, total = anchor[o], np.cumsum(size[o])
         edge = np.flatnonzero(np.append(True, x[1:] != x[:-1]))  # where anchors begin
-        part = (total[edge] - size[o][edge]) // ARRAY
+        part = (total[edge] - size[o][edge]) // self.array
         cuts = np.append(edge[np.flatnonzero(np.diff(part, prepend=-1))], len(o))
         for a, z in zip(cuts[:-1], cuts[1:]):
             r = o[a:z]
@@ -458,8 +459,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shards = parts(docs.sparkSession, text_bytes(docs), SHARD)
     least = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
     text = docs.select(F.col("uid"), least.alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sent = text.mapInArrow(lambda bs: _send(bs, shards, length), "shard int, kind int, payload binary")
-    first = table(sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _receive(bs, shards, length), "kind int, shard int, uid long, spans binary"))
+    hot, array, held = HOT, ARRAY, HELD  # workers get them with the function
+    sent = text.mapInArrow(lambda bs: _send(bs, shards, length, hot), "shard int, kind int, payload binary")
+    first = table(sent.repartitionById(shards, "shard").mapInArrow(lambda bs: _receive(bs, shards, length, array, held), "kind int, shard int, uid long, spans binary"))
     spans = first.where("kind = 0").select("uid", "spans")
     windows = first.where("kind = 2").select("shard", "spans")
     if windows.isEmpty():
