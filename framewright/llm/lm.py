@@ -34,7 +34,7 @@ CONTEXTS = 1 << 16
 D_WORD, T_WORD, D_CONTEXT, T_CONTEXT = 0.5, 100.0, 0.8, 2.0
 BURN_IN, SAMPLES, EXACT = 2, 3, 48
 #: Bytes of text that a task packs at once, and that a shard of words stands for.
-GATHER, SHARD = 12 << 20, 12 << 20
+GATHER, SHARD = 12 << 20, 8 << 20
 _TABLE = space_table()
 _END, _BEGIN = np.uint64(0x51ED270B35C4A3F1), np.uint64(0xA0761D6478BD642F)
 
