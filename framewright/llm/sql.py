@@ -1,5 +1,7 @@
 """DuckDB SQL for those queries that SQL can express over whole tables."""
 
+from .secrets import RULES
+
 OP2 = r"""
 with w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
@@ -76,3 +78,44 @@ from d join kept on kept.doc_id = d.doc_id left join sums on sums.doc_id = d.doc
 """
 
 SQL["op8_suffixes"] = OP8
+
+
+def _found(number: int, kind: str, pattern: str, lead: int, group: int, least: int) -> str:
+    """CTEs of one kind's spans (doc_id, k, kind, s, e): a match begins after the pieces and matches before it.
+
+    lead: a group of the pattern that stands before the span, or 0; group: the one that has `least` characters or more.
+    """
+    size = "list_sum(list_transform({}, lambda x: len(x)))"
+    before = f"len(regexp_extract(ms[i], {pattern}, {lead}))" if lead else "0"
+    return f"""m{number} as (select doc_id, regexp_extract_all(t, {pattern}, 0) ms, regexp_extract_all(t, {pattern}, {group}) gs, string_split_regex(t, {pattern}) ps from d where regexp_matches(t, {pattern})),
+e{number} as (
+  select doc_id, {number} k, '{kind}' kind, (s + {before})::bigint s, (s + len(ms[i]))::bigint e
+  from (select *, {size.format("ps[1:i]")} + coalesce({size.format("ms[1:i - 1]")}, 0) s from (select *, unnest(range(1, len(ms) + 1)) i from m{number}))
+  where len(gs[i]) >= {least})"""
+
+
+def _op4() -> str:
+    assign = next(pattern for kind, pattern, *_ in RULES if kind == "assign")
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    kinds = [
+        _found(0, "assign", quoted(assign), 0, 2, 6),
+        _found(1, "access", "'AKIA[A-Z0-9]{16,}'", 0, 0, 20),
+        _found(2, "hex", "'[0-9a-f]{24,}'", 0, 0, 24),
+        _found(3, "pem", r"'-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----'", 0, 0, 1),
+        _found(4, "jwt", r"'(^|[^A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+'", 1, 0, 1),
+        _found(5, "github", "'gh[pousr]_[A-Za-z0-9]{36,}'", 0, 0, 1),
+    ]
+    return f"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+{", ".join(kinds)},
+e as ({" union all ".join(f"select * from e{n}" for n in range(6))}),
+f as (
+  select doc_id, count(*) filter (k = 0) a, count(*) filter (k = 1) b, count(*) filter (k = 2) c,
+    coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by s, k, e) filter (k < 3), '') base, string_agg(kind || ':' || s || ':' || e, ',' order by s, k, e) spans
+  from e group by doc_id)
+select d.doc_id, coalesce(a, 0)::bigint n_assign, coalesce(b, 0)::bigint n_access, coalesce(c, 0)::bigint n_hex, sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from d left join f on f.doc_id = d.doc_id
+"""
+
+
+SQL["op4_secrets"] = _op4()
